@@ -113,7 +113,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     dealt = prints.select(F.pmod(F.xxhash64("rid"), F.lit(senders)).alias("sender"), "doc_id", "sha")
     suspects = cut(find_suspects(dealt, rows).distinct())
 
-    s = suspects.select(F.col("doc_id").alias("s_id"), F.col("sha").alias("s_sha"))
+    # Merge join at every size, so that the cost of fetching does not jump with the number of suspects.
+    s = suspects.hint("merge").select(F.col("doc_id").alias("s_id"), F.col("sha").alias("s_sha"))
     fetched = source.join(s, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("sha") == F.col("s_sha")), "left_semi")
     classes = cut(
         fetched.groupBy("sha", "text").agg(F.count(F.lit(1)).alias("group_size")).select("sha", "group_size", "text")
