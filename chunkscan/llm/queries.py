@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkscan.llm.common import table
+from chunkscan.llm.common import held_out, table
 from chunkscan.llm.exact_dedup import exact_dedup
+from chunkscan.llm.language_id import fit_language_model, predict_language
+from chunkscan.llm.sharding import extendible_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +31,31 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
+
+
+SHARD_BYTES = 1 << 20
+
+
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extendible_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+ORACLES["op3_sharding"] = f"""
+WITH t AS (SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
+                  CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h FROM documents),
+  sums AS (SELECT d AS depth, h >> CAST(60 - d AS INT) AS prefix, CAST(sum(bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_rows
+           FROM t, range(0, 41) r(d) GROUP BY ALL),
+  picked AS (SELECT doc_id, depth, prefix, shard_bytes, shard_rows FROM t JOIN sums ON h >> CAST(60 - depth AS INT) = prefix
+             WHERE shard_bytes <= {SHARD_BYTES} OR shard_rows = 1
+             QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1)
+SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), CAST(depth AS INT), '0') END AS shard, CAST(depth AS INT) AS depth,
+       shard_bytes, shard_rows, shard_bytes > {SHARD_BYTES} AS oversized FROM picked
+"""
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = held_out("doc_id", 3, 1)
+    return predict_language(docs, fit_language_model(docs, ~held), held)
