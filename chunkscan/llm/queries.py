@@ -10,6 +10,7 @@ from chunkscan.llm.common import held_out, table
 from chunkscan.llm.exact_dedup import exact_dedup
 from chunkscan.llm.language_id import fit_language_model, predict_language
 from chunkscan.llm.sharding import extendible_shards
+from chunkscan.llm.toxicity import fit_toxicity, predict_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +60,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = held_out("doc_id", 3, 1)
     return predict_language(docs, fit_language_model(docs, ~held), held)
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = held_out("doc_id", 5, 0)
+    return predict_toxicity(docs, fit_toxicity(docs, labels, ~held), held)
