@@ -79,7 +79,7 @@ def extendible_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_
         found, left = _leaves(todo, known, depth, limit)
         found, left = cut(found), cut(left)
         tagged = todo.withColumn("fine", F.shiftright("h", HASH_BITS - depth))
-        placed = tagged.join(found, "fine").select(
+        placed = tagged.join(found.hint("merge"), "fine").select(
             "doc_id",
             F.concat(F.col("base") if base else F.lit(""), _name(F.col("prefix"), F.col("depth"))).alias("shard"),
             (F.col("depth") + (HASH_BITS if base else 0)).cast("int").alias("depth"),

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,13 +32,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PER_CLASS = 3000
-LANDMARKS = 1200
+PER_CLASS = 1500
+LANDMARKS = 1000
 PENALTY = 1e-6
 DECAY = 0.6
 LETTERS, SPAN, WIDTH, CODES = 3, 6, 24, 32
 #: Units scored at once, and scores that a worker remembers.
-BLOCK, REMEMBERED = 20_000, 300_000
+BLOCK, REMEMBERED = 10_000, 1_000_000
 SPACED = re.compile(r"(?<!\S)(?:\w[ ]){3,}\w(?!\S)")
 SENTENCE = re.compile(r"[.!?\n]+")
 #: Digits that imitate letters (fixed values).
@@ -126,6 +127,7 @@ class KernelSVM:
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights.astype(np.float32), bias
         self.slope, self.shift = 1.0, 0.0
+        self.key = uuid.uuid4().hex
 
     def decide(self, words: list[str]) -> np.ndarray:
         out = np.empty(len(words), np.float32)
@@ -192,14 +194,21 @@ def _disturbed(words: list[str], rng: np.random.Generator) -> list[str]:
 def _svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     """Linear SVM by Newton steps on the squared hinge loss, both classes of equal weight."""
     n, m = x.shape
-    z = np.concatenate([x, np.ones((n, 1))], 1)
     cost = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum())
-    ridge = np.diag(np.append(np.full(m, PENALTY), 1e-9))
     w, active = np.zeros(m + 1), np.ones(n, bool)
     for _ in range(40):
-        za = z[active] * cost[active, None]
-        w = np.linalg.solve(ridge + z[active].T @ za, za.T @ y[active])
-        now = y * (z @ w) < 1
+        left, right = np.diag(np.append(np.full(m, PENALTY), 1e-9)), np.zeros(m + 1)
+        margin = np.empty(n)
+        for lo in range(0, n, 2000):  # by blocks, so that the copies stay small
+            rows = np.flatnonzero(active[lo : lo + 2000]) + lo
+            z = np.concatenate([x[rows], np.ones((len(rows), 1))], 1, dtype=np.float64)
+            za = z * cost[rows, None]
+            left += z.T @ za
+            right += za.T @ y[rows]
+        w = np.linalg.solve(left, right)
+        for lo in range(0, n, 2000):
+            margin[lo : lo + 2000] = y[lo : lo + 2000] * (x[lo : lo + 2000] @ w[:-1] + w[-1])
+        now = margin < 1
         if (now == active).all():
             break
         active = now
@@ -226,7 +235,8 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> KernelSVM | Non
         return None
     rng = np.random.default_rng(seed)
     held: tuple[Counter, Counter] = (Counter(), Counter())
-    found = [units(t) for t in texts]
+    pool: dict[str, str] = {}  # one copy of each unit
+    found = [{pool.setdefault(u, u) for u in units(t)} for t in texts]
     for us, label in zip(found, toxic):
         held[int(label)].update(us)
     every = len(held[1].keys() | held[0].keys())
@@ -261,7 +271,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> KernelSVM | Non
     for _ in range(ROUNDS):
         x = np.concatenate([pos, neg])
         y = np.concatenate([np.ones(len(pos)), -np.ones(len(neg))])
-        theta, bias = _svm(x.astype(np.float64), y)
+        theta, bias = _svm(x, y)
         model = KernelSVM(marks.weights(half @ theta), bias)
         hard = [clean[i] for i in np.argsort(-model.decide(clean))[:2500]]
         fresh = [u for u in hard if u not in seen]
@@ -294,6 +304,17 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(theta[0] / scale), float(theta[1] - theta[0] * mean / scale)
 
 
+_memory: tuple[str, dict[str, float]] = ("", {})
+
+
+def _known(key: str) -> dict[str, float]:
+    """Decisions that this worker process remembers of a model."""
+    global _memory
+    if _memory[0] != key:
+        _memory = (key, {})
+    return _memory[1]
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, train_fold: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> KernelSVM | None:
     """Fits on labelled rows where ``train_fold``, an expression on ``doc_id``, holds."""
     marked = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y")).where(train_fold & F.col("doc_id").isNotNull() & F.col("y").isNotNull())
@@ -312,7 +333,7 @@ def predict_toxicity(docs: DataFrame, model: KernelSVM | None, held: Column, id_
     source = docs.select(F.col(id_col).alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, float] = {}
+        known = _known(model.key if model else "")
         for pdf in frames:
             if model is None:
                 yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": 0.0, "predicted": 0})
