@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from chunkscan.llm.common import held_out, table
 from chunkscan.llm.decontaminate import contamination
 from chunkscan.llm.exact_dedup import exact_dedup
 from chunkscan.llm.language_id import fit_language_model, predict_language
+from chunkscan.llm.near_dedup import near_duplicates
+from chunkscan.llm.packing import pack
 from chunkscan.llm.secrets import scan_secrets
 from chunkscan.llm.sharding import extendible_shards
 from chunkscan.llm.toxicity import fit_toxicity, predict_toxicity
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -98,3 +103,13 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN its USING (doc_id)
 @query
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path or TOKENIZER)
