@@ -116,9 +116,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # Merge join at every size, so that the cost of fetching does not jump with the number of suspects.
     s = suspects.hint("merge").select(F.col("doc_id").alias("s_id"), F.col("sha").alias("s_sha"))
     fetched = source.join(s, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("sha") == F.col("s_sha")), "left_semi")
-    classes = cut(
-        fetched.groupBy("sha", "text").agg(F.count(F.lit(1)).alias("group_size")).select("sha", "group_size", "text")
-    )
+    classes = cut(fetched.groupBy("sha", "text").agg(F.count(F.lit(1)).alias("group_size")).select("sha", "group_size"))
     clash = classes.groupBy("sha").count().where("count > 1").limit(1).count() > 0
     if clash:  # two texts under one SHA-256: number them by their bytes
         raise ArithmeticError("two different texts share a SHA-256; grouping by digest would be wrong")
@@ -135,3 +133,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         (alone | (F.col("rid") == F.col("keep_rid"))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
+
+
+def keep_first(docs: DataFrame, verdict: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``verdict`` (doc_id, kept) keeps; of rows repeated with one id, one if any is dropped."""
+    dropped = verdict.where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
+    kept = verdict.where("kept").select(F.col("doc_id").alias("_kept"))
+    same = F.col("_dropped").eqNullSafe(F.col("_kept"))
+    # Ids of which one row stays and another goes: only repeated rows have them.
+    split = cut(dropped.join(kept, same, "left_semi"))
+    gone = dropped.join(split.withColumnRenamed("_dropped", "_split"), F.col("_dropped").eqNullSafe(F.col("_split")), "left_anti")
+    out = docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_dropped")), "left_anti")
+    return out.dropDuplicates([id_col]) if split.limit(1).count() else out

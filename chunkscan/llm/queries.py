@@ -11,10 +11,12 @@ from chunkscan.llm.common import held_out, table
 from chunkscan.llm.decontaminate import contamination
 from chunkscan.llm.exact_dedup import exact_dedup
 from chunkscan.llm.language_id import fit_language_model, predict_language
+from chunkscan.llm.lm_score import score_texts
 from chunkscan.llm.near_dedup import near_duplicates
 from chunkscan.llm.packing import pack
 from chunkscan.llm.secrets import scan_secrets
 from chunkscan.llm.sharding import extendible_shards
+from chunkscan.llm.suffix_dedup import repeated_spans
 from chunkscan.llm.toxicity import fit_toxicity, predict_toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -113,3 +115,13 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path or TOKENIZER)
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(table(spark, sf_dir, "documents")).drop("starts", "ends")
+
+
+@query
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -333,24 +334,37 @@ def predict_toxicity(docs: DataFrame, model: KernelSVM | None, held: Column, id_
     source = docs.select(F.col(id_col).alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = _known(model.key if model else "")
         for pdf in frames:
-            if model is None:
-                yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": 0.0, "predicted": 0})
-                continue
-            top = np.empty(len(pdf))
-            texts = pdf["text"].tolist()
-            for lo in range(0, len(texts), 256):
-                found = [units(t) if t else set() for t in texts[lo : lo + 256]]
-                new = list(set().union(*found).difference(known))
-                if new:
-                    known.update(zip(new, model.decide(new).tolist()))
-                get = known.__getitem__
-                top[lo : lo + len(found)] = [max(map(get, us), default=model.bias) for us in found]
-                if len(known) > REMEMBERED:
-                    known.clear()
-            s = model.score(top)
+            s = _scores(model, pdf["text"].tolist())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": s, "predicted": (s >= 0.5).astype(np.int32)})
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return source.mapInPandas(score, f"doc_id {id_type}, held_out boolean, score double, predicted int")
+
+
+def _scores(model: KernelSVM | None, texts: list[str | None]) -> np.ndarray:
+    if model is None:
+        return np.zeros(len(texts))
+    known = _known(model.key)
+    top = np.empty(len(texts))
+    for lo in range(0, len(texts), 256):
+        if len(known) > REMEMBERED:
+            known.clear()
+        found = [units(t) if t else set() for t in texts[lo : lo + 256]]
+        new = list(set().union(*found).difference(known))
+        if new:
+            known.update(zip(new, model.decide(new).tolist()))
+        get = known.__getitem__
+        top[lo : lo + len(found)] = [max(map(get, us), default=model.bias) for us in found]
+    return model.score(top)
+
+
+def drop_toxic(docs: DataFrame, model: KernelSVM | None, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that score 0.5 or more; all columns as they are."""
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            yield batch.filter(pa.array(_scores(model, texts) < 0.5))
+
+    return docs.mapInArrow(clean, docs.schema)
