@@ -16,6 +16,7 @@ table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
 from collections import Counter
@@ -33,12 +34,14 @@ CAPACITY, END_ID = 4096, 1
 ROUNDS, PROGRAMS = 6, 5
 #: How sharply prices follow the lag; how much longer pieces are preferred.
 STEP, BIAS = 1.0, 0.05
-#: Words whose ids a worker remembers.
-REMEMBERED = 900_000
+#: Words, and stems of words, whose ids a worker remembers.
+REMEMBERED, STEMS = 700_000, 1_000_000
 #: Marks that may close a word and that no contraction starts with.
 CLOSING = ".,;:!?*#$%&|"
 #: str.split() parts words here, the tokenizer does not; such texts are encoded whole.
-ODD_SPACE = frozenset("\x1c\x1d\x1e\x1f")
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
+#: A character whose token no other text gives.
+MARK = "\x01"
 
 
 class WordEncoder:
@@ -53,30 +56,54 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Many words by one call, parted by a mark that is a token of its own."""
+        if any(MARK in w for w in words):
+            return self._encode(words)
+        out: list[bytes] = []
+        for lo in range(0, len(words), 4000):
+            part = words[lo : lo + 4000]
+            (one,) = self.tokenizer.encode_batch_fast([f" {MARK} ".join([*part, ""])], add_special_tokens=False)
+            ids = np.array(one.ids, "<u4")
+            ends = np.flatnonzero(ids == self.mark)
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *(4 * ends[:-1] + 4).tolist()], (4 * ends).tolist())]
+        return out
+
     def _learn(self, words: list[str]) -> None:
-        parts = []
+        known, stems_known, parts, stems = self.known, self.stems, [], set()
         for word in words:
             stem = word.rstrip(CLOSING)
-            if not stem or not stem[-1].isalnum():
-                stem = word
-            parts.append((word, stem.lower() if stem.isascii() else stem, word[len(stem) :]))
-        new = list({x for _, *both in parts for x in both}.difference(self.known))
-        self.known.update(zip(new, self._encode(new)))
-        known = self.known
-        known.update([(word, known[stem] + known[tail]) for word, stem, tail in parts])
+            if stem and stem[-1].isalnum():
+                tail = word[len(stem) :]
+            else:
+                stem, tail = word, ""
+            if stem.isascii():
+                stem = stem.lower()
+            parts.append((word, stem, tail))
+            stems.add(stem)
+            if tail:
+                stems.add(tail)
+        new = list(stems.difference(stems_known))
+        stems_known.update(zip(new, self._encode_words(new)))
+        known.update([(word, stems_known[stem] + stems_known[tail] if tail else stems_known[stem]) for word, stem, tail in parts])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
+        if len(self.stems) > STEMS:
+            self.stems.clear()
         split = [(t or "").split() for t in texts]
         self._learn(list(set().union(*split).difference(self.known)))
         get = self.known.__getitem__
         out = [b"".join(map(get, ws)) for ws in split]
-        odd = [i for i, t in enumerate(texts) if t and not ODD_SPACE.isdisjoint(t)]
+        odd = [i for i, t in enumerate(texts) if t and any(c in t for c in ODD_SPACE)]
         for i, ids in zip(odd, self._encode([texts[i] for i in odd])):
             out[i] = ids
         return out
@@ -99,6 +126,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(tokenizer_path)
+        gc.disable()  # there are no cycles here, and passes over a million words cost time
         for pdf in frames:
             for lo in range(0, len(pdf), 256):
                 part = pdf.iloc[lo : lo + 256]
