@@ -6,12 +6,14 @@ the rest once. Classes that agree in a band of their MinHash signature are candi
 1. Each bucket's members meet its first member: one pair a member, not all pairs.
 2. The two signatures are compared batch by batch. With m of n values equal and a uniform prior,
    the chance that the similarity is at least the threshold is a binomial tail; below ``MISS`` the
-   pair is dropped. What passes is verified on the full sets.
-3. Links join classes into components. Only buckets of three and more that still hold several
-   components are looked at again, in blocks of at most about ``BLOCK`` members by ``BLOCK``: pairs
-   across components go through the same test, first the few most alike of each member and
-   component, then, across what is still apart, all. So groups of any size cost about one pair a
-   member, and no pair that passes the test is left out.
+   pair is dropped. What passes is verified on the full sets. Links join classes into components.
+3. Pairs that passed the signature test join classes into families. Where a family holds several
+   components, its members meet across them in blocks of about ``BLOCK`` by ``BLOCK``: signatures
+   first, full sets of what passes, and only links that join two components leave the task. Blocks
+   within the largest component do not meet.
+4. Members of one bucket but of different families, which chance seldom makes, meet by signature
+   too; what passes is verified. So every pair that shares a bucket is tested unless its members
+   are connected already, and rows stay in proportion to members.
 
 Odd cases: null and empty texts have no set and stay alone; fewer than five words count as one run;
 rows without an id are returned with a null component and kept; rows repeated with one id share its
@@ -38,8 +40,6 @@ HASHES = BANDS * ROWS
 #: Signature values compared at once; chance at which a pair at the threshold may be dropped.
 BATCH, MISS = 16, 1e-7
 BLOCK = 1024
-#: Partners of a member in each other component that are verified before all are.
-FIRST = 4
 #: Bytes of text hashed at once.
 CHUNK = 1 << 20
 
@@ -162,44 +162,99 @@ def _prune(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pdf.iloc[alive][["a", "b"]]
 
 
-def _across(first: int | None):
-    """Pairs of one block of a bucket that pass, between components (rows: g, i, j, own, cid, root, sig)."""
+def _runs(g: np.ndarray) -> list[tuple[int, int]]:
+    edges = [0, *(np.flatnonzero(np.diff(g)) + 1).tolist(), len(g)]
+    return list(zip(edges[:-1], edges[1:]))
 
-    def one(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        root, cid = pdf["root"].to_numpy(), pdf["cid"].to_numpy()
-        own, i, j = pdf["own"].to_numpy(), int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        names, inverse, counts = np.unique(root, return_inverse=True, return_counts=True)
-        if len(names) < 2:
-            return cid[:0], cid[:0]
-        sig = _signatures(pdf["sig"])
-        largest = counts.argmax()
+
+def _meeting(inverse: np.ndarray, own: np.ndarray, i: int, j: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Members of one block (or of the smaller components) and those of the other that each has to meet."""
+    if i != j:
+        for x in np.flatnonzero(own == i):
+            yield x, np.flatnonzero((own == j) & (inverse != inverse[x]))
+        return
+    largest = np.bincount(inverse).argmax()
+    for x in np.flatnonzero(inverse != largest):
+        # A pair of two small components is met from its later member.
+        yield x, np.flatnonzero((inverse != inverse[x]) & ((inverse == largest) | (np.arange(len(own)) < x)))
+
+
+def _strangers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of a bucket from different families that pass the signature test (rows: g, i, j, own, cid, root, sig)."""
+    for many in groups(frames, "g"):
         found_a, found_b = [], []
-        for x in np.flatnonzero(inverse != largest):
-            # A pair of two small components is met from its later member.
-            other = (inverse != inverse[x]) & ((inverse == largest) | (np.arange(len(cid)) < x))
-            if i != j:
-                other &= own != own[x]
-            ys = np.flatnonzero(other)
-            alive, equal = surviving(np.broadcast_to(sig[x], (len(ys), HASHES)), sig[ys])
-            if first is not None and len(alive) > first:
-                order = np.lexsort((-equal[alive], inverse[ys[alive]]))
-                ranked = alive[order]
-                comp = inverse[ys[ranked]]
-                start = np.maximum.accumulate(np.where(np.diff(comp, prepend=-1) != 0, np.arange(len(comp)), 0))
-                alive = ranked[np.arange(len(comp)) - start < first]
-            found_a.append(np.full(len(alive), cid[x]))
-            found_b.append(cid[ys[alive]])
-        return np.concatenate(found_a), np.concatenate(found_b)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for many in groups(frames, "g"):
-            g = many["g"].to_numpy()
-            edges = np.flatnonzero(np.diff(g, prepend=g[0] - 1 if g[0] > -(1 << 62) else g[0] + 1))
-            pairs = [one(many.iloc[lo:hi]) for lo, hi in zip(edges, [*edges[1:], len(g)])]
-            a, b = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return run
+        for lo, hi in _runs(many["g"].to_numpy()):
+            pdf = many.iloc[lo:hi]
+            names, inverse = np.unique(pdf["root"].to_numpy(), return_inverse=True)
+            if len(names) < 2:
+                continue
+            cid, sig = pdf["cid"].to_numpy(), _signatures(pdf["sig"])
+            for x, ys in _meeting(inverse, pdf["own"].to_numpy(), int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])):
+                alive, _ = surviving(np.broadcast_to(sig[x], (len(ys), HASHES)), sig[ys])
+                found_a += [cid[x]] * len(alive)
+                found_b += cid[ys[alive]].tolist()
+        a, b = np.array(found_a, np.int64), np.array(found_b, np.int64)
+        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def _relatives(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links that join components within a family (rows: as before and found, the full sets)."""
+    for many in groups(frames, "g"):
+        found_a, found_b = [], []
+        for lo, hi in _runs(many["g"].to_numpy()):
+            pdf = many.iloc[lo:hi]
+            names, inverse = np.unique(pdf["root"].to_numpy(), return_inverse=True)
+            if len(names) < 2:
+                continue
+            cid, sig, own = pdf["cid"].to_numpy(), _signatures(pdf["sig"]), pdf["own"].to_numpy()
+            sets = [np.asarray(x, np.int64) for x in pdf["found"]]
+            size = np.array([len(x) for x in sets])
+            _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+            start = np.cumsum(size) - size
+            mark = np.zeros(flat.max() + 1, np.int64)
+            parent = list(range(len(names)))
+
+            def top(c: int) -> int:
+                while parent[c] != c:
+                    parent[c] = parent[parent[c]]
+                    c = parent[c]
+                return c
+
+            for x, ys in _meeting(inverse, own, int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])):
+                mine = top(int(inverse[x]))
+                tops = np.array([top(c) for c in range(len(names))])
+                ys = ys[tops[inverse[ys]] != mine]
+                alive, _ = surviving(np.broadcast_to(sig[x], (len(ys), HASHES)), sig[ys])
+                ys = ys[alive]
+                if not len(ys):
+                    continue
+                mark[flat[start[x] : start[x] + size[x]]] = 1
+                both = np.add.reduceat(mark[np.concatenate([flat[start[y] : start[y] + size[y]] for y in ys])], np.cumsum(size[ys]) - size[ys])
+                mark[flat[start[x] : start[x] + size[x]]] = 0
+                for y in ys[DENOMINATOR * both >= NUMERATOR * (size[x] + size[ys] - both)]:
+                    other, mine = top(int(inverse[y])), top(int(inverse[x]))
+                    if other != mine:
+                        parent[other] = mine
+                        found_a.append(cid[x])
+                        found_b.append(cid[y])
+        yield pd.DataFrame({"u": np.array(found_a, np.int64), "v": np.array(found_b, np.int64)})
+
+
+def _blocks(members: DataFrame, group: str) -> DataFrame:
+    """``members`` (``group``, cid, root) dealt to pairs of blocks: g, i, j, own, cid, root; those of the largest component do not meet."""
+    counts = members.groupBy(group, "root").count()
+    sizes = counts.groupBy(group).agg(F.max(F.struct("count", "root")).alias("most"), F.sum("count").alias("all"))
+    sizes = sizes.select(group, F.col("most.root").alias("main"), F.ceil(F.col("most.count") / BLOCK).alias("mains"), F.ceil((F.col("all") - F.col("most.count")) / BLOCK).alias("rests"), "all")
+    # A group that fits into one block is one; else the largest component has blocks of its own, after the others.
+    one = F.col("all") <= 2 * BLOCK
+    known = members.join(sizes.hint("merge"), group)
+    main = F.col("root") == F.col("main")
+    h = F.xxhash64("cid")
+    own = F.when(one, F.lit(0).cast("long")).when(main, F.col("rests") + F.pmod(h, F.col("mains"))).otherwise(F.pmod(h, F.col("rests")))
+    last = F.when(one, F.lit(0).cast("long")).when(main, F.col("rests") - 1).otherwise(F.col("rests") + F.col("mains") - 1)
+    dealt = known.select(group, "cid", "root", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("with"))
+    dealt = dealt.select(F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "cid", "root", group)
+    return dealt.withColumn("g", F.xxhash64(group, "i", "j")).drop(group)
 
 
 class _Corpus:
@@ -274,27 +329,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = lambda c, s: classes.select(F.col("cid").alias(c), F.col("sig").alias(s)).hint("merge")
     stars = shared.where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b")).distinct()
     tested = stars.join(sig("a", "sa"), "a").join(sig("b", "sb"), "b").mapInPandas(_prune, "a long, b long")
+    tested = cut(tested)
     links = cut(corpus.verify(tested))
     comps = components(links)
+    slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    families = components(tested.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("cid"), F.col("root").alias("family"))
+    families = cut(families.union(families.select("family", "family").distinct()))
+
+    rooted = families.join(comps.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    open_ = rooted.groupBy("family").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi AND m > 2")
+    met = _blocks(cut(rooted.join(open_.select("family").hint("merge"), "family")), "family")
+    sets = corpus.with_sets(families.select("cid")).select("cid", "found").hint("merge")
+    dealt = met.join(sig("cid", "sig"), "cid").join(sets, "cid").select("g", "i", "j", "own", "cid", "root", "sig", "found")
+    joined = dealt.repartition(slots, "g").sortWithinPartitions("g").mapInPandas(_relatives, "u long, v long")
+    links = cut(links.union(joined))
+    comps = components(links)
 
-    large = shared.where("members > 2")
-    for first in (FIRST, None):
-        labelled = large.join(comps.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-        open_ = labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m"), F.min("cid").alias("c"), F.sum(F.shiftright(F.xxhash64("cid"), 20)).alias("s"))
-        # Bands of one group give the same buckets again: one of each is enough.
-        open_ = cut(open_.where("lo <> hi").groupBy("m", "c", "s").agg(F.min("bucket").alias("bucket")))
-        if open_.limit(1).count() == 0:
-            break
-        members = labelled.join(open_.select("bucket", "m").hint("merge"), "bucket")
-        blocks = F.ceil(F.col("m") / BLOCK)
-        members = members.select("bucket", "cid", "root", blocks.alias("blocks"), F.pmod(F.xxhash64("cid"), blocks).cast("long").alias("own"))
-        dealt = members.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
-        dealt = dealt.select("cid", "root", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "bucket")
-        dealt = dealt.withColumn("g", F.xxhash64("bucket", "i", "j")).join(sig("cid", "sig"), "cid")
-        slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = dealt.select("g", "i", "j", "own", "cid", "root", "sig").repartition(slots, "g").sortWithinPartitions("g")
-        more = corpus.verify(dealt.mapInPandas(_across(first), "a long, b long"))
-        links = cut(links.union(more))
+    # Buckets that hold several families; bands of one group give the same bucket again, one is enough.
+    placed = shared.where("members > 2").select("bucket", "cid").join(families.hint("merge"), "cid", "left").withColumn("root", F.coalesce("family", "cid"))
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m"), F.min("cid").alias("c"), F.sum(F.shiftright(F.xxhash64("cid"), 20)).alias("s"))
+    mixed = cut(mixed.where("lo <> hi").groupBy("m", "c", "s").agg(F.min("bucket").alias("bucket")))
+    members = cut(placed.join(mixed.select("bucket").hint("merge"), "bucket").select("bucket", "cid", "root"))
+    dealt = _blocks(members, "bucket").join(sig("cid", "sig"), "cid").select("g", "i", "j", "own", "cid", "root", "sig")
+    strange = cut(dealt.repartition(slots, "g").sortWithinPartitions("g").mapInPandas(_strangers, "a long, b long").distinct())
+    if strange.limit(1).count():
+        links = cut(links.union(corpus.verify(strange)))
         comps = components(links)
 
     known = classes.join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("key", "id", F.coalesce("root", "cid").alias("root"))
