@@ -21,6 +21,8 @@ import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from struct import pack
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -40,8 +42,18 @@ REMEMBERED, STEMS = 700_000, 1_000_000
 CLOSING = ".,;:!?*#$%&|"
 #: str.split() parts words here, the tokenizer does not; such texts are encoded whole.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
-#: A character whose token no other text gives.
-MARK = "\x01"
+#: What follows the Latin letters.
+LATIN_END = "\u0250"
+
+
+def _byte_signs() -> dict[int, int]:
+    """The sign that stands for each byte: printable ones for themselves, the others counted from 256."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + k for k, b in enumerate(hidden)}
+
+
+BYTE_SIGNS = _byte_signs()
 
 
 class WordEncoder:
@@ -57,24 +69,26 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
-        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Many words by one call, parted by a mark that is a token of its own."""
-        if any(MARK in w for w in words):
-            return self._encode(words)
-        out: list[bytes] = []
-        for lo in range(0, len(words), 4000):
-            part = words[lo : lo + 4000]
-            (one,) = self.tokenizer.encode_batch_fast([f" {MARK} ".join([*part, ""])], add_special_tokens=False)
-            ids = np.array(one.ids, "<u4")
-            ends = np.flatnonzero(ids == self.mark)
-            raw = ids.tobytes()
-            out += [raw[a:b] for a, b in zip([0, *(4 * ends[:-1] + 4).tolist()], (4 * ends).tolist())]
-        return out
+        """Latin letters in lower case pass all steps before the merges unchanged, so they go straight there."""
+        out: dict[str, bytes] = {}
+        merge, slow = self.tokenizer.model.tokenize, []
+        for w in words:
+            if w.isascii() and w.isalpha() and w.islower():
+                raw = w
+            elif w and w.isalpha() and w.islower() and max(w) < LATIN_END and is_normalized("NFC", w):
+                raw = w.encode().decode("latin-1").translate(BYTE_SIGNS)
+            else:
+                slow.append(w)
+                continue
+            ids = [t.id for t in merge(raw)]
+            out[w] = pack(f"<{len(ids)}I", *ids)
+        out.update(zip(slow, self._encode(slow)))
+        return [out[w] for w in words]
 
     def _learn(self, words: list[str]) -> None:
         known, stems_known, parts, stems = self.known, self.stems, [], set()
@@ -100,9 +114,14 @@ class WordEncoder:
         if len(self.stems) > STEMS:
             self.stems.clear()
         split = [(t or "").split() for t in texts]
-        self._learn(list(set().union(*split).difference(self.known)))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, ws)) for ws in split]
+        get = self.known.get
+        found = [list(map(get, ws)) for ws in split]
+        missing: set[str] = set()
+        for ws, ids in zip(split, found):
+            if None in ids:
+                missing.update([w for w, x in zip(ws, ids) if x is None])
+        self._learn(list(missing))
+        out = [b"".join([x if x is not None else get(w) for w, x in zip(ws, ids)]) if None in ids else b"".join(ids) for ws, ids in zip(split, found)]
         odd = [i for i, t in enumerate(texts) if t and any(c in t for c in ODD_SPACE)]
         for i, ids in zip(odd, self._encode([texts[i] for i in odd])):
             out[i] = ids
@@ -264,7 +283,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return found.withColumn("sequence_id", F.expr("seg.base + (k - seg.lo) DIV seg.each")).withColumn("offset", F.col("seg.at") + F.col("length") * (nth % F.col("seg.each"))).drop("part", "before", "nth", "k", "segs", "seg")
 
 
-def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and ids if asked for."""
     pieces = tokenize(docs, tokenizer_path, id_col, text_col, capacity, end_id)
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]

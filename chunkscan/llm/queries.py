@@ -13,7 +13,7 @@ from chunkscan.llm.exact_dedup import exact_dedup
 from chunkscan.llm.language_id import fit_language_model, predict_language
 from chunkscan.llm.lm_score import score_texts
 from chunkscan.llm.near_dedup import near_duplicates
-from chunkscan.llm.packing import pack
+from chunkscan.llm.packing import pack_documents
 from chunkscan.llm.secrets import scan_secrets
 from chunkscan.llm.sharding import extendible_shards
 from chunkscan.llm.suffix_dedup import repeated_spans
@@ -114,7 +114,7 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), tokenizer_path or TOKENIZER)
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path or TOKENIZER)
 
 
 @query

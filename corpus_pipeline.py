@@ -14,7 +14,7 @@ from chunkscan.llm.common import cut, held_out, table
 from chunkscan.llm.decontaminate import contamination
 from chunkscan.llm.exact_dedup import exact_dedup, keep_first
 from chunkscan.llm.near_dedup import near_duplicates
-from chunkscan.llm.packing import pack
+from chunkscan.llm.packing import pack_documents
 from chunkscan.llm.queries import TOKENIZER
 from chunkscan.llm.toxicity import drop_toxic, fit_toxicity
 
@@ -43,7 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a text: its sequence and place there."""
-    return pack(docs, TOKENIZER)
+    return pack_documents(docs, TOKENIZER)
 
 
 STAGES = [("toxicity", toxicity), ("exact", exact), ("near", near), ("decontamination", decontamination), ("packing", packing)]
