@@ -200,10 +200,11 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
             break
         reached, floor_ = reached + n, bucket
     head = counts.where(level >= floor_) if floor_ is not None else counts.where("false")
-    got = head.select("h", "c").toPandas()
-    hashes = got["h"].to_numpy(np.int64).view(np.uint64)
+    got = head.select("h", "c").toArrow()
+    hashes, known = got.column("h").to_numpy().view(np.uint64), got.column("c").to_numpy()
     order = np.argsort(hashes)
-    hashes, known = hashes[order], got["c"].to_numpy(np.int64)[order]
+    hashes, known = hashes[order], known[order]
+    del got
 
     common = np.lexsort((hashes, -known))
     common = common[(known[common] > 0) & (hashes[common] != END_HASH)][: CLASSES - 2]
@@ -212,8 +213,11 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     order = np.argsort(words)
     words, ids = words[order], ids[order]
     pairs = texts.mapInPandas(_count_pairs(words, ids), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    cells = pairs.toPandas().sort_values("cell")  # at most CLASSES ** 2 rows
-    model = LogBilinear(words, ids).fit(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(np.int64))
+    got = pairs.toArrow()  # at most CLASSES ** 2 rows
+    cells, times = got.column("cell").to_numpy(), got.column("n").to_numpy()
+    del got
+    order = np.argsort(cells)
+    model = LogBilinear(words, ids).fit(cells[order].astype(np.int64), times[order])
     end_count = int(known[hashes == END_HASH].sum())
     other_total = total - int(known[common].sum()) - end_count
     other_distinct = distinct - len(common) - (end_count > 0)
