@@ -68,6 +68,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -109,8 +110,8 @@ class WordEncoder:
         known.update([(word, stems_known[stem] + stems_known[tail] if tail else stems_known[stem]) for word, stem, tail in parts])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) > REMEMBERED // 2:  # two generations, so that common words stay
+            self.known, self.before = {}, self.known
         if len(self.stems) > STEMS:
             self.stems.clear()
         split = [(t or "").split() for t in texts]
@@ -120,7 +121,9 @@ class WordEncoder:
         for ws, ids in zip(split, found):
             if None in ids:
                 missing.update([w for w, x in zip(ws, ids) if x is None])
-        self._learn(list(missing))
+        again = missing.intersection(self.before)
+        self.known.update([(w, self.before[w]) for w in again])
+        self._learn(list(missing.difference(again)))
         out = [b"".join([x if x is not None else get(w) for w, x in zip(ws, ids)]) if None in ids else b"".join(ids) for ws, ids in zip(split, found)]
         odd = [i for i, t in enumerate(texts) if t and any(c in t for c in ODD_SPACE)]
         for i, ids in zip(odd, self._encode([texts[i] for i in odd])):
@@ -147,8 +150,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
         encoder = _encoder(tokenizer_path)
         gc.disable()  # there are no cycles here, and passes over a million words cost time
         for pdf in frames:
-            for lo in range(0, len(pdf), 256):
-                part = pdf.iloc[lo : lo + 256]
+            for lo in range(0, len(pdf), 1024):
+                part = pdf.iloc[lo : lo + 1024]
                 rows = []
                 for doc_id, ids in zip(part["doc_id"], encoder.encode(part["text"].tolist())):
                     ids += end
