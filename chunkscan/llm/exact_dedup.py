@@ -121,12 +121,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     if clash:  # two texts under one SHA-256: number them by their bytes
         raise ArithmeticError("two different texts share a SHA-256; grouping by digest would be wrong")
     sizes = classes.where("group_size > 1").select("sha", "group_size")
-    first = prints.join(sizes.select("sha"), "sha", "left_semi").groupBy("sha").agg(
+    first = prints.join(sizes.select("sha").hint("merge"), "sha", "left_semi").groupBy("sha").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), "rid")).alias("first")
     )
-    keep = sizes.join(first, "sha").select("sha", "group_size", F.col("first.d").alias("keep_id"), F.col("first.rid").alias("keep_rid"))
+    # Cut, so that the last join reads both sides by shuffle and a large group can be split among tasks.
+    keep = cut(sizes.join(first, "sha").select("sha", "group_size", F.col("first.d").alias("keep_id"), F.col("first.rid").alias("keep_rid")))
     alone = F.col("keep_rid").isNull()
-    return prints.join(keep, "sha", "left").select(
+    return prints.join(keep.hint("merge"), "sha", "left").select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
