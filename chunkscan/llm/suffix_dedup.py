@@ -221,17 +221,18 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = spark.table(name)
 
     runs = cut(texts.select("key", "text").mapInPandas(_find_anchors, "key binary, first long, last long, place long, h long"))
-    again = runs.groupBy("h").count().where("count > 1").select("h")
+    # Cut, so that the join reads both sides by shuffle and a frequent anchor can be split among tasks.
+    again = cut(runs.groupBy("h").count().where("count > 1").select("h"))
     alive = runs.join(again.hint("merge"), "h").groupBy("key").agg(*[F.collect_list(c).alias(c) for c in ("first", "last", "place", "h")])
     stretches = cut(texts.select("key", "text").join(alive.hint("merge"), "key").mapInPandas(_second_digit, "node long, content long, key binary, lo long, hi long"))
 
     kinds = stretches.groupBy("node", "content").agg(F.count(F.lit(1)).alias("members"), F.min(F.xxhash64("key", "lo")).alias("one"))
     nodes = kinds.groupBy("node").agg(F.count(F.lit(1)).alias("kinds"))
-    told = kinds.join(nodes, "node").where("members > 1 OR kinds > 1")
+    told = cut(kinds.join(nodes, "node").where("members > 1 OR kinds > 1"))
     marked = cut(stretches.join(told.hint("merge"), ["node", "content"]).select("key", "lo", "hi", (F.col("members") > 1).alias("done"), ((F.col("kinds") > 1) & (F.xxhash64("key", "lo") == F.col("one"))).alias("on")))
     rest = marked.where("on").groupBy("key").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his"))
     single = cut(texts.select("key", "text").join(rest.hint("merge"), "key").mapInPandas(_third_digit, "w0 long, w1 long, key binary, lo long"))
-    twice = single.groupBy("w0", "w1").count().where("count > 1").select("w0", "w1")
+    twice = cut(single.groupBy("w0", "w1").count().where("count > 1").select("w0", "w1"))
     found = single.join(twice.hint("merge"), ["w0", "w1"]).select("key", "lo", F.col("lo").alias("hi"))
     hits = marked.where("done").select("key", "lo", "hi").union(found).groupBy("key").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his"))
     schema = "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>"
