@@ -323,7 +323,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = corpus.classes
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("sig", b * (4 * ROWS) + 1, F.lit(4 * ROWS))))
     placed = classes.select("cid", F.explode(bands).alias("bucket"))
-    heads = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("cid").alias("head")).where("members > 1")
+    # Cut, like other sides below, so that the join reads both by shuffle and a large bucket can be split among tasks.
+    heads = cut(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("cid").alias("head")).where("members > 1"))
     shared = cut(placed.join(heads.hint("merge"), "bucket"))
 
     sig = lambda c, s: classes.select(F.col("cid").alias(c), F.col("sig").alias(s)).hint("merge")
@@ -358,7 +359,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     known = classes.join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("key", "id", F.coalesce("root", "cid").alias("root"))
     least = known.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = known.join(least, "root").select("key", "component_id")
+    named = cut(known.join(least, "root").select("key", "component_id")).hint("merge")
     out = corpus.rows.select("doc_id", "n", "key").join(named, "key", "left")
     comp = F.when(F.col("key").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
