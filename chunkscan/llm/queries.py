@@ -112,6 +112,20 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op4_near_dedup"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+  pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+  links AS (SELECT x, y FROM pairs p JOIN n m ON m.doc_id = x JOIN n o ON o.doc_id = y WHERE 100 * c >= 75 * (m.n + o.n - c)),
+  edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+  reach AS (SELECT DISTINCT x AS doc_id, x AS r FROM edges UNION SELECT reach.doc_id, y FROM reach JOIN edges ON r = x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1) USING (doc_id)
+"""
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path or TOKENIZER)
