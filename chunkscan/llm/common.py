@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import TypeVar
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: Words are runs of anything but ASCII white space.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -75,6 +79,22 @@ def _delete(spark: SparkSession, path: str) -> None:
         return
 
 
+_memory: tuple[str, object] = ("", None)
+
+
+def remembered(name: str, make: Callable[[], T]) -> T:
+    """What this worker process keeps from task to task under ``name``; it keeps one thing at a time.
+
+    Workers serve one stage after the other, and memories of several would add up.
+    """
+    global _memory
+    if _memory[0] != name:
+        _memory = ("", None)
+        gc.collect()
+        _memory = (name, make())
+    return _memory[1]
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkscan.llm.common import cut
+from chunkscan.llm.common import cut, remembered
 
 CAPACITY, END_ID = 4096, 1
 #: Pricing rounds of a linear program; programs solved before the last remainder.
@@ -131,15 +131,10 @@ class WordEncoder:
         return out
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def _encoder(path: str) -> WordEncoder:
     """One a worker process, so that what it knows outlives a task."""
-    if path not in _encoders:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return remembered(f"tokens:{path}", lambda: WordEncoder(path))
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

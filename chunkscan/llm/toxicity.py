@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chunkscan.llm.common import remembered
+
 PER_CLASS = 1500
 LANDMARKS = 1000
 PENALTY = 1e-6
 DECAY = 0.6
 LETTERS, SPAN, WIDTH, CODES = 3, 6, 24, 32
 #: Units scored at once, and scores that a worker remembers.
-BLOCK, REMEMBERED = 10_000, 1_000_000
+BLOCK, REMEMBERED = 10_000, 600_000
 SPACED = re.compile(r"(?<!\S)(?:\w[ ]){3,}\w(?!\S)")
 SENTENCE = re.compile(r"[.!?\n]+")
 #: Digits that imitate letters (fixed values).
@@ -305,15 +307,9 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(theta[0] / scale), float(theta[1] - theta[0] * mean / scale)
 
 
-_memory: tuple[str, dict[str, float]] = ("", {})
-
-
 def _known(key: str) -> dict[str, float]:
     """Decisions that this worker process remembers of a model."""
-    global _memory
-    if _memory[0] != key:
-        _memory = (key, {})
-    return _memory[1]
+    return remembered(f"decisions:{key}", dict)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, train_fold: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> KernelSVM | None:
