@@ -37,7 +37,7 @@ ROUNDS, PROGRAMS = 6, 5
 #: How sharply prices follow the lag; how much longer pieces are preferred.
 STEP, BIAS = 1.0, 0.05
 #: Words, and stems of words, whose ids a worker remembers.
-REMEMBERED, STEMS = 700_000, 1_000_000
+REMEMBERED, STEMS = 1_000_000, 1_000_000
 #: Marks that may close a word and that no contraction starts with.
 CLOSING = ".,;:!?*#$%&|"
 #: str.split() parts words here, the tokenizer does not; such texts are encoded whole.
@@ -68,7 +68,6 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -91,27 +90,35 @@ class WordEncoder:
         out.update(zip(slow, self._encode(slow)))
         return [out[w] for w in words]
 
-    def _learn(self, words: list[str]) -> None:
-        known, stems_known, parts, stems = self.known, self.stems, [], set()
+    def _learn(self, words: set[str]) -> None:
+        known, stems, later, new = self.known, self.stems, [], set()
         for word in words:
             stem = word.rstrip(CLOSING)
-            if stem and stem[-1].isalnum():
-                tail = word[len(stem) :]
-            else:
-                stem, tail = word, ""
+            tail = ""
+            if len(stem) != len(word):
+                if stem and stem[-1].isalnum():
+                    tail = word[len(stem) :]
+                else:
+                    stem = word
             if stem.isascii():
                 stem = stem.lower()
-            parts.append((word, stem, tail))
-            stems.add(stem)
-            if tail:
-                stems.add(tail)
-        new = list(stems.difference(stems_known))
-        stems_known.update(zip(new, self._encode_words(new)))
-        known.update([(word, stems_known[stem] + stems_known[tail] if tail else stems_known[stem]) for word, stem, tail in parts])
+            ids = stems.get(stem)
+            if ids is not None and not tail:
+                known[word] = ids
+            elif ids is not None and tail in stems:
+                known[word] = ids + stems[tail]
+            else:
+                later.append((word, stem, tail))
+                new.add(stem)
+                new.add(tail)
+        fresh = list(new.difference(stems))
+        stems.update(zip(fresh, self._encode_words(fresh)))
+        for word, stem, tail in later:
+            known[word] = stems[stem] + stems[tail] if tail else stems[stem]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > REMEMBERED // 2:  # two generations, so that common words stay
-            self.known, self.before = {}, self.known
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
         if len(self.stems) > STEMS:
             self.stems.clear()
         split = [(t or "").split() for t in texts]
@@ -121,9 +128,7 @@ class WordEncoder:
         for ws, ids in zip(split, found):
             if None in ids:
                 missing.update([w for w, x in zip(ws, ids) if x is None])
-        again = missing.intersection(self.before)
-        self.known.update([(w, self.before[w]) for w in again])
-        self._learn(list(missing.difference(again)))
+        self._learn(missing)
         out = [b"".join([x if x is not None else get(w) for w, x in zip(ws, ids)]) if None in ids else b"".join(ids) for ws, ids in zip(split, found)]
         odd = [i for i, t in enumerate(texts) if t and any(c in t for c in ODD_SPACE)]
         for i, ids in zip(odd, self._encode([texts[i] for i in odd])):
@@ -145,8 +150,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
         encoder = _encoder(tokenizer_path)
         gc.disable()  # there are no cycles here, and passes over a million words cost time
         for pdf in frames:
-            for lo in range(0, len(pdf), 1024):
-                part = pdf.iloc[lo : lo + 1024]
+            for lo in range(0, len(pdf), 256):
+                part = pdf.iloc[lo : lo + 256]
                 rows = []
                 for doc_id, ids in zip(part["doc_id"], encoder.encode(part["text"].tolist())):
                     ids += end
