@@ -5,8 +5,8 @@ bit; all others stay as they are, so each shard's depth is local. One histogram
 beyond the mean decides all shallower splits at once; only rows of buckets that are too large even
 there are looked at again, deeper.
 
-Odd cases: a null text has 0 bytes; a row larger than the limit ends alone in a shard marked
-``oversized``; rows that share an id (null ids too) have the same first 60 bits, so an oversized
+Odd cases: a null text has 0 bytes; a row larger than the limit ends in a shard marked
+``oversized``, the shallowest in which it is alone; rows that share an id (null ids too) have the same first 60 bits, so an oversized
 group of them goes on splitting on 60 bits drawn from text and row number; an empty table gives an
 empty result; other columns are not looked at.
 """
@@ -47,8 +47,8 @@ def _leaves(rows: DataFrame, known: int, depth: int, limit: int) -> tuple[DataFr
     climbed = hist.select("fine", "b", "n", F.explode(steps).alias("depth"))
     climbed = climbed.withColumn("prefix", F.expr(f"shiftright(fine, {depth} - depth)"))
     sums = climbed.groupBy("depth", "prefix").agg(F.sum("b").alias("shard_bytes"), F.sum("n").alias("shard_rows"))
-    fits = sums.where((F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1) & (F.col("depth") == depth))
-    over = sums.where(F.col("shard_bytes") > limit).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
+    fits = sums.where((F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1))
+    over = sums.where((F.col("shard_bytes") > limit) & (F.col("shard_rows") > 1)).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
     # A bucket that fits is a shard if its parent is too large; known buckets are.
     under = fits.withColumn("parent", F.shiftright("prefix", 1)).join(over.withColumn("split", F.lit(True)), ["depth", "parent"], "left")
     shards = under.where(F.col("split") | (F.col("depth") == first)).select("depth", "prefix", "shard_bytes", "shard_rows")

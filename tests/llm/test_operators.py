@@ -16,7 +16,7 @@ from chunkscan.llm import language_id, lm_score, near_dedup, packing, suffix_ded
 from chunkscan.llm.common import held_out, make_importable
 from chunkscan.llm.decontaminate import contamination
 from chunkscan.llm.graph import components
-from chunkscan.llm.queries import TOKENIZER
+from chunkscan.llm.queries import ORACLES, SHARD_BYTES, TOKENIZER
 from chunkscan.llm.secrets import scan_secrets
 from chunkscan.llm.sharding import extendible_shards
 
@@ -199,6 +199,18 @@ def test_shards_of_one_id(spark):
     assert len(got) == 80 and max(r["shard_bytes"] for r in got) <= 1000
 
 
+def test_shards_of_a_row_over_the_limit(spark):
+    import duckdb
+
+    for n in (1, 60):
+        rows = [(i, "x" * (SHARD_BYTES * 2 if i % 20 == 0 else 90_000)) for i in range(n)]
+        got = extendible_shards(spark.createDataFrame(rows, "doc_id long, text string"), SHARD_BYTES).collect()
+        con = duckdb.connect()
+        con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+        assert sorted(map(tuple, got)) == sorted(con.execute(ORACLES["op3_sharding"]).fetchall())
+
+
 def test_contamination(spark, docs, rows, nothing):
     passage = next(t for _, t, *_ in rows if t and len(t.split()) > 100)
     items = [(1, " ".join(passage.split()[3:20]).upper()), (2, "Two, words!"), (3, "one"), (4, None), (5, "..."), (11, " ".join(passage.split()[15:40])), (6, "never seen words in here at all or so it goes")]
