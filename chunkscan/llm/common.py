@@ -14,6 +14,7 @@ from typing import TypeVar
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 T = TypeVar("T")
 
@@ -35,6 +36,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The column that ``numbered`` adds.
+ROW = "_row_key"
+
+
+def numbered(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with ``ROW``: text that no two rows share, never null, in the order of the id (null last).
+
+    Written, so that a row has the same key each time it is read.
+    """
+    named = F.col(id_col)
+    if isinstance(docs.schema[id_col].dataType, IntegralType):
+        # With the sign bit turned, hex digits are in the order of the numbers.
+        ordered = F.lpad(F.hex(named.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    else:
+        ordered = F.concat(named.cast("string"), F.lit("\0"))
+    key = F.concat(F.when(named.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), ordered)), F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
+    return cut(docs.withColumn(ROW, key))
+
+
 def fold(doc_id: Column | str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null for a null id."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

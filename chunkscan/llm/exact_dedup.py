@@ -136,13 +136,22 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def keep_first(docs: DataFrame, verdict: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that ``verdict`` (doc_id, kept) keeps; of rows repeated with one id, one if any is dropped."""
+def keep_rows(docs: DataFrame, verdict: DataFrame, row: str) -> DataFrame:
+    """The rows of ``docs`` that ``verdict`` (doc_id, kept) keeps; its doc_id is ``row``, which tells all rows apart."""
+    gone = verdict.where("NOT kept").select(F.col("doc_id").alias("_dropped"))
+    return docs.join(gone.hint("merge"), F.col(row) == F.col("_dropped"), "left_anti")
+
+
+def keep_first(docs: DataFrame, verdict: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``keep_rows``, by an id that may repeat or be null.
+
+    Where one row of an id stays and another goes, the verdict does not say which; each of that id's texts then stays once.
+    """
     dropped = verdict.where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
     kept = verdict.where("kept").select(F.col("doc_id").alias("_kept"))
-    same = F.col("_dropped").eqNullSafe(F.col("_kept"))
-    # Ids of which one row stays and another goes: only repeated rows have them.
-    split = cut(dropped.join(kept, same, "left_semi"))
-    gone = dropped.join(split.withColumnRenamed("_dropped", "_split"), F.col("_dropped").eqNullSafe(F.col("_split")), "left_anti")
-    out = docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_dropped")), "left_anti")
-    return out.dropDuplicates([id_col]) if split.limit(1).count() else out
+    split = cut(dropped.join(kept, F.col("_dropped").eqNullSafe(F.col("_kept")), "left_semi"))
+    out = docs.join(dropped.hint("merge"), F.col(id_col).eqNullSafe(F.col("_dropped")), "left_anti")
+    if not split.limit(1).count():
+        return out
+    both = docs.join(split.hint("merge"), F.col(id_col).eqNullSafe(F.col("_dropped")), "left_semi")
+    return out.unionByName(both.dropDuplicates([id_col, text_col]))

@@ -2,7 +2,8 @@
 
 Toxic texts go, of equal texts one stays, of each near-duplicate group one stays, texts that hold a
 benchmark passage go, and what is left is packed. Each stage sees all rows and whole texts that the
-one before kept, and all but the last return the columns of ``documents``.
+one before kept, and all but the last return the columns of ``documents``. Ids may be null or repeat:
+verdicts are on rows, which get written keys in the order of their ids (null last).
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkscan.llm.common import cut, held_out, table
+from chunkscan.llm.common import ROW, cut, held_out, numbered, table
 from chunkscan.llm.decontaminate import contamination
-from chunkscan.llm.exact_dedup import exact_dedup, keep_first
+from chunkscan.llm.exact_dedup import exact_dedup, keep_rows
 from chunkscan.llm.near_dedup import near_duplicates
 from chunkscan.llm.packing import pack_documents
 from chunkscan.llm.queries import TOKENIZER
@@ -27,18 +28,21 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts keeps the one with the least id."""
-    return keep_first(docs, exact_dedup(docs).select("doc_id", "kept"))
+    rows = numbered(docs)
+    return keep_rows(rows, exact_dedup(rows, ROW).select("doc_id", "kept"), ROW).drop(ROW)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates keeps the one with the least id."""
-    return keep_first(docs, near_duplicates(docs).select("doc_id", "kept"))
+    rows = numbered(docs)
+    return keep_rows(rows, near_duplicates(rows, ROW).select("doc_id", "kept"), ROW).drop(ROW)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts in which a window of a benchmark item occurs."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return keep_first(docs, found.select("doc_id", (~F.col("contaminated")).alias("kept")))
+    rows = numbered(docs)
+    found = contamination(rows, table(spark, sf_dir, "benchmark"), ROW)
+    return keep_rows(rows, found.select("doc_id", (~F.col("contaminated")).alias("kept")), ROW).drop(ROW)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

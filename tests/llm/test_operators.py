@@ -70,6 +70,12 @@ def test_exact_repeated_and_null_ids(spark):
     assert sorted(r["text"].replace("  ", " ") for r in kept.where("doc_id IS NOT NULL").collect()) == ["a b", "y"]
 
 
+def test_keep_first_keeps_null_id_texts(spark):
+    df = spark.createDataFrame([(None, "x"), (None, "x"), (None, "y"), (7, "p"), (7, "q")], "doc_id long, text string")
+    kept = ed.keep_first(df, ed.exact_dedup(df).select("doc_id", "kept"))
+    assert sorted(r["text"] for r in kept.collect()) == ["p", "q", "x", "y"]
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(20)]

@@ -67,6 +67,22 @@ def test_run(spark, folder):
     assert {"doc_id", "sequence_id", "offset", "length"} <= set(out.columns) and out.count() > 0
 
 
+def test_rows_of_null_and_repeated_ids(spark, tmp_path):
+    rng = random.Random(7)
+    item, clean, other, copied = H.text(rng, 20), H.text(rng, 40), H.text(rng, 40), H.text(rng, 60)
+    rows = [(None, "x"), (None, "x"), (None, "y"), (5, item), (5, clean), (6, other), (6, "z"), (-3, copied), (2, copied), (None, copied), (None, copied + " end"), (10, copied + " end")]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    told = lambda df: sorted(((r[0], r[1]) for r in df.collect()), key=str)
+    want = [(None, "x"), (None, "y"), (5, item), (5, clean), (6, other), (6, "z"), (-3, copied), (10, copied + " end")]
+    docs = corpus_pipeline.exact(spark, docs, str(tmp_path))
+    assert told(docs) == sorted(want, key=str)
+    docs = corpus_pipeline.near(spark, docs, str(tmp_path))
+    assert told(docs) == sorted(want[:-1], key=str)
+    docs = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert docs.columns == ["doc_id", "text"] and told(docs) == sorted((r for r in want[:-1] if r[1] != item), key=str)
+
+
 def test_registry():
     assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
     assert set(ORACLES) <= set(QUERIES)
