@@ -1,14 +1,18 @@
 """Scores of texts under a log-bilinear language model fitted by noise-contrastive estimation.
 
 Tokens are words, ASCII letters in lower case, and one end a text. Tokens are told apart by 64-bit
-hashes. What the model learns from is counted over all training rows: every token's count, and how
-often each pair of neighbouring classes occurs. Classes are the ``CLASSES`` - 2 commonest words, the
-end (also what stands before a first word) and one class for all other words.
+hashes. Units of the model are the end, every word with at least ``LEAST`` training tokens, and
+buckets of all rarer words by hash, one for each ``BUCKET`` of their training tokens; so units grow
+with the corpus. In a bucket a word's share is its count plus one.
 
-The model scores class w after class v as r_v C t_w + b_w. It is fitted in numpy on the pair counts
-by noise-contrastive estimation against the class frequencies; one matrix product over all classes
-then gives exactly normalised log-probabilities. A word of the last class shares its probability
-by its count plus one.
+A unit is scored after the ``CONTEXT`` units before it. Units are leaves of a tree; at each of its
+``LEVELS`` levels a node has a log-bilinear score among its sisters, and a softmax over these few
+normalises exactly, at a cost of the cube root of the units.
+
+Noise-contrastive estimation makes one pass over all windows of the training rows, in ``ROUNDS``
+parts. Each task goes through its rows in steps of ``BATCH`` windows; after each part, changes are
+averaged by how many steps made them. Every worker holds all units' numbers, some 400 bytes a unit
+while it learns.
 
 Counts of the ``HEAD`` commonest words, a fixed bound, go to all workers; other words of a text meet
 their counts in a join, where no key is frequent.
@@ -20,7 +24,7 @@ gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
-import uuid
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,11 +35,15 @@ from pyspark.sql import functions as F
 from chunkscan.llm.common import cut
 from chunkscan.llm.near_dedup import word_hashes
 
+#: Units of a model made without counts; numbers a unit; words with counts that all workers hold.
 CLASSES, DIMENSION, HEAD = 2048, 24, 1 << 20
-OTHER, END = 0, 1
+#: Words before a word that it depends on; count from which a word is a unit; training tokens a bucket of rarer words.
+CONTEXT, LEAST, BUCKET = 3, 64, 1024
+LEVELS, ROUNDS, BLOCK = 3, 3, 4096
+END = 1
 #: The end's place among the hashes.
 END_HASH = np.uint64(0x656E64)
-STEPS, BATCH, NOISE, RATE = 1500, 2048, 128, 0.05
+STEPS, BATCH, NOISE, RATE = 1500, 2048, 2, 0.05
 #: Bytes of text handled at once; distinct tokens that a task gathers before it passes them on.
 CHUNK, GATHER = 1 << 21, 2_000_000
 
@@ -87,100 +95,182 @@ def _count_tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out()
 
 
-def _classes(tokens: np.ndarray, words: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Class of each token; ``words`` sorted."""
+def _find(tokens: np.ndarray, words: np.ndarray, ids: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit of each token, and which bucket of rare words it is in (-1: none); ``words`` sorted."""
     at = np.minimum(np.searchsorted(words, tokens), len(words) - 1)
-    return np.where(words[at] == tokens, ids[at], OTHER)
-
-
-def _before(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Class before each token; an end stands before a first word."""
-    out = np.empty_like(classes)
-    out[1:] = classes[:-1]
-    out[np.cumsum(counts) - counts] = END
+    own = words[at] == tokens
+    bucket = np.where(own, -1, tokens.view(np.int64) % len(buckets))
+    return np.where(own, ids[at], buckets[bucket]), bucket
+
+
+def _before(units: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
+    """The ``CONTEXT`` units before each token, nearest first; ends stand before a first word."""
+    place = np.arange(len(units)) - np.repeat(np.cumsum(counts) - counts, counts)
+    out = np.full((len(units), CONTEXT), end, units.dtype)
+    for j in range(CONTEXT):
+        inside = place > j
+        out[inside, j] = units[np.flatnonzero(inside) - j - 1]
     return out
 
 
-def _count_pairs(words: np.ndarray, ids: np.ndarray):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, cells, size = np.zeros(CLASSES * CLASSES, np.int64), [], 0
-        for pdf in frames:
-            learn = ~pdf["held_out"].to_numpy(bool)
-            for lo, hi, tokens, counts in _chunks(pdf):
-                w = _classes(tokens, words, ids)
-                cells.append((_before(w, counts) * CLASSES + w)[np.repeat(learn[lo:hi], counts)])
-                size += len(cells[-1])
-                if size > GATHER:
-                    total += np.bincount(np.concatenate(cells), minlength=len(total))
-                    cells, size = [], 0
-        if cells:
-            total += np.bincount(np.concatenate(cells), minlength=len(total))
-        at = np.flatnonzero(total)
-        for lo in range(0, len(at), 100_000):
-            yield pd.DataFrame({"cell": at[lo : lo + 100_000].astype(np.int32), "n": total[at[lo : lo + 100_000]]})
-
-    return run
+def _scatter(rows: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``rows`` and the sums of their gradients."""
+    order = np.argsort(rows, kind="stable")
+    at = rows[order]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    return at[first], np.add.reduceat(grads[order], first, axis=0)
 
 
 class LogBilinear:
-    def __init__(self, words: np.ndarray, ids: np.ndarray):
+    """Units in the order of their counts are leaves of a tree of ``LEVELS`` levels with ``fan`` children a node.
+
+    A node n scores t_n . (sum_j C_j r_vj) + b_n among its sisters. Its bias is the last column of t.
+    """
+
+    def __init__(self, words: np.ndarray, ids: np.ndarray, buckets: np.ndarray | None = None, mass: np.ndarray | None = None, end: int = END):
         rng = np.random.default_rng(11)
-        self.key, self.words, self.ids = uuid.uuid4().hex, words, ids
-        self.r = rng.normal(0, 0.1, (CLASSES, DIMENSION)).astype(np.float32)
-        self.t = rng.normal(0, 0.1, (CLASSES, DIMENSION)).astype(np.float32)
-        self.c = np.eye(DIMENSION, dtype=np.float32)
-        self.b = np.full(CLASSES, -np.log(CLASSES), np.float32)
+        self.words, self.ids, self.end = words, ids, end
+        self.buckets = np.zeros(1, np.int64) if buckets is None else buckets
+        self.mass(np.ones(CLASSES) if mass is None else mass)
+        self.r = rng.normal(0, 0.1, (self.units, DIMENSION)).astype(np.float32)
+        self.c = np.stack([np.eye(DIMENSION, dtype=np.float32) / (j + 1) for j in range(CONTEXT)])
+
+    def mass(self, mass: np.ndarray) -> None:
+        """Sets the tree's biases to the log share of each node among its sisters."""
+        rng = np.random.default_rng(12)
+        self.units = len(mass)
+        self.fan = max(2, next(f for f in range(1, self.units + 2) if f**LEVELS >= self.units))
+        self.t = []
+        for level in range(LEVELS):
+            start = np.arange(0, self.units, self.fan ** (LEVELS - 1 - level))
+            own = np.add.reduceat(mass + 0.5, start)
+            parent = np.arange(len(own)) // self.fan
+            bias = np.log(own / np.bincount(parent, own)[parent])
+            self.t.append(np.column_stack([rng.normal(0, 0.1, (len(own), DIMENSION)), bias]).astype(np.float32))
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.r, *self.t, self.c.reshape(CONTEXT, -1)]
+
+    def learn(self, before: np.ndarray, unit: np.ndarray, squares: list[np.ndarray], rate: float, rng: np.random.Generator, seen: list[np.ndarray] | None = None) -> None:
+        """One Adagrad step of noise-contrastive estimation: at each level the true node against ``NOISE`` of its sisters."""
+        rs = [self.r[before[:, j]] for j in range(CONTEXT)]
+        hidden = sum(x @ c for x, c in zip(rs, self.c))
+        wide = np.column_stack([hidden, np.ones(len(hidden), np.float32)])
+        g_hidden = np.zeros_like(hidden)
+        steps = []
+        for level, t in enumerate(self.t):
+            node = unit // self.fan ** (LEVELS - 1 - level)
+            first = node // self.fan * self.fan
+            sisters = np.minimum(first + self.fan, len(t)) - first
+            noise = first[:, None] + (rng.random((len(unit), NOISE), np.float32) * sisters[:, None]).astype(np.int64)
+            rows = np.column_stack([node, np.minimum(noise, (first + sisters - 1)[:, None])])
+            got = t[rows]
+            x = np.matmul(got, wide[:, :, None])[:, :, 0] + np.log(sisters / NOISE).astype(np.float32)[:, None]
+            g = -1 / (1 + np.exp(-np.clip(x, -30, 30)))
+            g[:, 0] += 1
+            g_hidden += np.matmul(g[:, None, :], got)[:, 0, :DIMENSION]
+            steps.append(_scatter(rows.ravel(), (g[:, :, None] * wide[:, None, :]).reshape(-1, DIMENSION + 1)))
+        g_c = np.stack([(x.T @ g_hidden).ravel() for x in rs])
+        g_r = np.concatenate([g_hidden @ c.T for c in self.c])
+        steps = [_scatter(before.T.ravel(), g_r), *steps, (np.arange(CONTEXT), g_c)]
+        for k, (part, square, (rows, g)) in enumerate(zip(self.parts(), squares, steps)):
+            g = g / len(unit)
+            square[rows] += g * g
+            part[rows] += rate * g / np.sqrt(square[rows])
+            if seen is not None:
+                seen[k][rows] += 1
+
+    def squares(self) -> list[np.ndarray]:
+        return [np.full(x.shape, 1e-6, np.float32) for x in self.parts()]
 
     def fit(self, cells: np.ndarray, counts: np.ndarray) -> "LogBilinear":
-        """Noise-contrastive estimation with noise shared by a batch; Adagrad steps."""
+        """Learns from counts of pairs (cell: unit before times ``CLASSES``, plus unit); farther places hold the end."""
         rng = np.random.default_rng(13)
         before, word = cells // CLASSES, cells % CLASSES
-        freq = np.bincount(word, counts, CLASSES) + 0.5
-        q = freq / freq.sum()
-        logq = np.log(q).astype(np.float32)
-        self.b = logq.copy()
+        self.mass(np.bincount(word, counts, CLASSES))
         if not len(cells):
             return self
-        cum, cum_q = np.cumsum(counts, dtype=np.float64), np.cumsum(q)
-        squares = [np.full(x.shape, 1e-3, np.float32) for x in (self.r, self.t, self.c, self.b)]
+        cum, squares = np.cumsum(counts, dtype=np.float64), self.squares()
         for step in range(STEPS):
-            rate = RATE * (1 - step / STEPS) + 1e-3
             pick = np.searchsorted(cum, rng.random(BATCH) * cum[-1], "right")
-            v, w = before[pick], word[pick]
-            noise = np.minimum(np.searchsorted(cum_q, rng.random(NOISE), "right"), CLASSES - 1)
-            rv = self.r[v]
-            hidden, tw, tn = rv @ self.c, self.t[w], self.t[noise]
-            # Each word against NOISE draws: the log of their expected number is taken off.
-            real = (hidden * tw).sum(1) + self.b[w] - logq[w] - np.log(NOISE)
-            fake = hidden @ tn.T + self.b[noise] - logq[noise] - np.log(NOISE)
-            g_real = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-            g_fake = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
-            g_hidden = g_real[:, None] * tw + g_fake @ tn
-            grads = [np.zeros_like(x) for x in (self.r, self.t, self.c, self.b)]
-            np.add.at(grads[0], v, g_hidden @ self.c.T)
-            np.add.at(grads[1], w, g_real[:, None] * hidden)
-            np.add.at(grads[1], noise, g_fake.T @ hidden)
-            grads[2] += rv.T @ g_hidden
-            np.add.at(grads[3], w, g_real)
-            np.add.at(grads[3], noise, g_fake.sum(0))
-            for x, s, g in zip((self.r, self.t, self.c, self.b), squares, grads):
-                g /= BATCH
-                s += g * g
-                x += rate * g / np.sqrt(s)
+            around = np.full((BATCH, CONTEXT), self.end)
+            around[:, 0] = before[pick]
+            self.learn(around, word[pick], squares, RATE * (1 - step / STEPS) + 1e-3, rng)
         return self
 
+    def hidden(self, before: np.ndarray) -> np.ndarray:
+        out = np.ones((len(before), DIMENSION + 1), np.float32)
+        out[:, :DIMENSION] = sum(self.r[before[:, j]] @ c for j, c in enumerate(self.c))
+        return out
+
+    def log_p(self, before: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """log10 P(unit | units before), normalised: a softmax among sisters at each level."""
+        out, order = np.zeros(len(unit)), np.argsort(unit, kind="stable")
+        unit, wide = unit[order], self.hidden(before[order])
+        for level, t in enumerate(self.t):
+            node = unit // self.fan ** (LEVELS - 1 - level)
+            parent = node // self.fan
+            edges = [*np.flatnonzero(np.append(True, parent[1:] != parent[:-1])).tolist(), len(unit)]
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                for at in range(lo, hi, BLOCK):
+                    to, first = min(at + BLOCK, hi), int(parent[lo]) * self.fan
+                    x = wide[at:to] @ t[first : first + self.fan].T
+                    mine = x[np.arange(to - at), node[at:to] - first]
+                    top = x.max(1)
+                    out[order[at:to]] += mine - top - np.log(np.exp(x - top[:, None]).sum(1))
+        return out / np.log(10)
+
     def table(self) -> np.ndarray:
-        """log10 P(word class | class before), normalised; one a worker process."""
-        global _table
-        if _table[0] != self.key:
-            score = (self.r @ self.c) @ self.t.T + self.b
-            top = score.max(1, keepdims=True)
-            score -= top + np.log(np.exp(score - top).sum(1, keepdims=True, dtype=np.float64)).astype(np.float32)
-            _table = (self.key, score / np.float32(np.log(10)))
-        return _table[1]
+        """log10 P(unit | unit before it, ends before that) of all pairs."""
+        around = np.full((self.units, CONTEXT), self.end)
+        around[:, 0] = np.arange(self.units)
+        return np.stack([self.log_p(around, np.full(self.units, u)) for u in range(self.units)], 1)
 
 
-_table: tuple[str, np.ndarray | None] = ("", None)
+def _train(shared, rate: float):
+    """Rows (part, block, blob): of each part's rows that a task changed, steps that did and change times steps."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = copy.deepcopy(shared.value)
+        start, squares = [x.copy() for x in model.parts()], model.squares()
+        seen = [np.zeros(len(x), np.float32) for x in start]
+        rng = np.random.default_rng(17)
+        for pdf in frames:
+            for _, _, tokens, counts in _chunks(pdf):
+                unit, _ = _find(tokens, model.words, model.ids, model.buckets)
+                before = _before(unit, counts, model.end)
+                mixed = rng.permutation(len(unit))
+                for lo in range(0, len(unit), BATCH):
+                    model.learn(before[mixed[lo : lo + BATCH]], unit[mixed[lo : lo + BATCH]], squares, rate, rng, seen)
+        for k, (x, old, n) in enumerate(zip(model.parts(), start, seen)):
+            for b in range(0, len(x), BLOCK):
+                m = n[b : b + BLOCK, None]
+                if m.any():
+                    yield pd.DataFrame({"part": [k], "block": [b // BLOCK], "blob": [np.hstack([m, (x[b : b + BLOCK] - old[b : b + BLOCK]) * m]).astype("<f4").tobytes()]})
+
+    return run
+
+
+def _merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(x, "<f4").astype(np.float64) for x in sorted(map(bytes, pdf["blob"])))
+    return pd.DataFrame({"part": [key[0]], "block": [key[1]], "blob": [total.astype("<f4").tobytes()]})
+
+
+def fit_model(model: LogBilinear, texts: DataFrame) -> LogBilinear:
+    """One pass over all windows of the training rows in ``ROUNDS`` parts; after each, the tasks' changes are averaged."""
+    sc, kind = texts.sparkSession.sparkContext, "part int, block int, blob binary"
+    for k in range(ROUNDS):
+        shared = sc.broadcast(model)
+        some = texts.where(~F.col("held_out") & (F.pmod(F.xxhash64("text", F.lit("round")), F.lit(ROUNDS)) == k))
+        some = some.select("text").coalesce(sc.defaultParallelism)
+        merged = some.mapInPandas(_train(shared, RATE * (1 - k / ROUNDS)), kind).groupBy("part", "block").applyInPandas(_merge, kind)
+        parts = model.parts()
+        for part, block, blob in merged.toLocalIterator():
+            x = parts[part][block * BLOCK : (block + 1) * BLOCK]
+            got = np.frombuffer(bytes(blob), "<f4").reshape(len(x), -1)
+            x += got[:, 1:] / np.maximum(got[:, :1], 1)
+        shared.unpersist()
+    return model
 
 
 def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,36 +296,39 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     hashes, known = hashes[order], known[order]
     del got
 
-    common = np.lexsort((hashes, -known))
-    common = common[(known[common] > 0) & (hashes[common] != END_HASH)][: CLASSES - 2]
-    words = np.append(hashes[common], END_HASH)
-    ids = np.append(np.arange(2, len(common) + 2), END)
+    own = counts.where(F.col("c") >= LEAST).where(F.col("h") != int(END_HASH)).select("h", "c").toArrow()
+    words, mass = own.column("h").to_numpy().view(np.uint64), own.column("c").to_numpy()
+    del own
+    end_count = counts.where(F.col("h") == int(END_HASH)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    words, mass = np.append(words, END_HASH), np.append(mass, end_count)
+    size = max(1, (total - int(mass.sum())) // BUCKET)
+    rare_words = counts.where((F.col("c") > 0) & (F.col("c") < LEAST) & (F.col("h") != int(END_HASH)))
+    got = rare_words.groupBy(F.pmod("h", F.lit(size)).alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).toArrow()
+    in_bucket, kinds = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    in_bucket[got.column("k").to_numpy()], kinds[got.column("k").to_numpy()] = got.column("c").to_numpy(), got.column("n").to_numpy()
+    mass = np.concatenate([mass, in_bucket])
+    ranked = np.lexsort((np.append(words, np.arange(size, dtype=np.uint64)), -mass))
+    place = np.empty(len(mass), np.int64)
+    place[ranked] = np.arange(len(mass))
     order = np.argsort(words)
-    words, ids = words[order], ids[order]
-    pairs = texts.mapInPandas(_count_pairs(words, ids), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    got = pairs.toArrow()  # at most CLASSES ** 2 rows
-    cells, times = got.column("cell").to_numpy(), got.column("n").to_numpy()
-    del got
-    order = np.argsort(cells)
-    model = LogBilinear(words, ids).fit(cells[order].astype(np.int64), times[order])
-    end_count = int(known[hashes == END_HASH].sum())
-    other_total = total - int(known[common].sum()) - end_count
-    other_distinct = distinct - len(common) - (end_count > 0)
-    log_base, log_other = float(np.log10(total + distinct + 1)), float(np.log10(other_total + other_distinct + 1))
-    shared = spark.sparkContext.broadcast((hashes, known, model))
+    model = LogBilinear(words[order], place[: len(words)][order], place[len(words) :], mass[ranked], int(place[len(words) - 1]))
+    if total:
+        model = fit_model(model, texts)
+    log_base, log_bucket = float(np.log10(total + distinct + 1)), np.log10(in_bucket + kinds + 1.0)
+    shared = spark.sparkContext.broadcast((hashes, known, model, log_bucket))
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, known, model = shared.value
-        table = model.table()
+        hashes, known, model, log_bucket = shared.value
         log_known = np.log10(known + 1.0)
         for pdf in frames:
             for lo, hi, tokens, sizes in _chunks(pdf):
                 at = np.minimum(np.searchsorted(hashes, tokens), max(len(hashes) - 1, 0))
                 inside = hashes[at] == tokens if len(hashes) else np.zeros(len(tokens), bool)
-                w = _classes(tokens, model.words, model.ids)
+                unit, bucket = _find(tokens, model.words, model.ids, model.buckets)
                 rare = np.where(inside, log_known[at], 0) if len(hashes) else np.zeros(len(tokens))
                 seen = inside & (known[at] > 0) if len(hashes) else inside
-                lm = table[_before(w, sizes), w].astype(np.float64) + np.where(w == OTHER, rare - log_other, 0)
+                # A rare word's count may be out of the head; the join below then adds it.
+                lm = model.log_p(_before(unit, sizes, model.end), unit) + np.where(bucket >= 0, rare - log_bucket[bucket], 0)
                 first = np.cumsum(sizes) - sizes
                 lost = np.split(tokens[~inside].view(np.int64), np.cumsum(np.add.reduceat(~inside, first, dtype=np.int64))[:-1])
                 yield pd.DataFrame({

@@ -282,6 +282,30 @@ def test_lm_is_normalised_and_learns():
     assert p[2, 3] > p[3, 3] and p[4, 4] > p[2, 4]
 
 
+def test_lm_units_grow_with_words(spark, monkeypatch):
+    rng = random.Random(12)
+    data = [(i, " ".join(f"w{rng.randrange(2600)}" for _ in range(20))) for i in range(6000)]
+    monkeypatch.setattr(lm_score, "LEAST", 16)
+    models, fit = [], lm_score.fit_model
+    monkeypatch.setattr(lm_score, "fit_model", lambda model, texts: models.append(fit(model, texts)) or models[-1])
+    lm_score.score_texts(spark.createDataFrame(data, "doc_id long, text string"), held_out("doc_id", 7, 2)).count()
+    assert len(models[0].words) > 2500 and models[0].units > lm_score.CLASSES
+    before = np.array([[5, 6, 7], [8, 2, models[0].end]])
+    p = sum(10.0 ** models[0].log_p(before, np.full(2, u)) for u in range(models[0].units))
+    assert np.allclose(p, 1, atol=1e-4)
+
+
+def test_lm_sees_farther_back():
+    rng = np.random.default_rng(5)
+    model = lm_score.LogBilinear(np.array([1], np.uint64), np.array([0]), mass=np.ones(30), end=0)
+    squares = model.squares()
+    for _ in range(300):
+        before = rng.integers(1, 30, (512, lm_score.CONTEXT))
+        model.learn(before, before[:, 1], squares, 0.05, rng)
+    before = rng.integers(1, 30, (500, lm_score.CONTEXT))
+    assert 10 ** np.mean(model.log_p(before, before[:, 1])) > 0.5
+
+
 def test_string_kernel_tolerates_gaps():
     marks = toxicity._Marks(["nitwit", "harbour"])
     k = marks.kernel(["nitwit", "NIT-WIT".lower(), "n1twit", "nixtwit", "lantern", "ab", ""])
