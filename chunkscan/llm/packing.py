@@ -100,7 +100,7 @@ class WordEncoder:
                     tail = word[len(stem) :]
                 else:
                     stem = word
-            if stem.isascii():
+            if stem.isascii() and "<|" not in stem:  # special tokens are matched as written
                 stem = stem.lower()
             ids = stems.get(stem)
             if ids is not None and not tail:

@@ -128,6 +128,14 @@ def test_packing(docs, rows, nothing):
     assert packing.pack_documents(nothing, TOKENIZER).count() == 0
 
 
+def test_special_tokens_keep_their_case():
+    from tokenizers import Tokenizer
+
+    texts = ["a <|ENDOFTEXT|> b", "<|endoftext|>", "Word<|StartOfText|>Word <|startoftext|>WORD!", "<| X"]
+    tok, encoder = Tokenizer.from_file(TOKENIZER), packing.WordEncoder(TOKENIZER)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_plan_uses_histogram():
     rng = random.Random(2)
     for _ in range(5):
