@@ -11,7 +11,7 @@ one suffices as join prefix: the one that the corpus holds least often.
 4. Candidates of a text meet its words again, by id and digest, and are compared word for word.
 
 Odd cases: null texts and items have no words and match nothing; an item id may repeat (its
-windows join); rows repeated with one id all get the same result; empty tables work; other columns
+windows join); items without an id count as one item, which the digest of ids leaves out; rows repeated with one id all get the same result; empty tables work; other columns
 are not looked at.
 """
 
@@ -54,7 +54,7 @@ def _shingles(df: DataFrame, words: str, size: int, keep: list[str]) -> DataFram
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text"))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text"))
     windows = cut(_windows(items))
     small = windows.count() <= BROADCAST_ROWS
     hinted = F.broadcast if small else (lambda df: df.hint("merge"))

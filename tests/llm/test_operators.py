@@ -239,6 +239,16 @@ def test_contamination(spark, docs, rows, nothing):
     assert contamination(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_contamination_by_items_without_id(spark):
+    passage = " ".join(f"w{k}" for k in range(15))
+    docs = spark.createDataFrame([(1, f"a {passage} b"), (2, "one other"), (3, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, passage), (None, "other"), (7, "one")], "item_id long, text string")
+    got = {r["doc_id"]: r for r in contamination(docs, bench).collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    told = [(got[i]["n_hit"], got[i]["n_items"], got[i]["items_sha256"], got[i]["contaminated"]) for i in (1, 2, 3)]
+    assert told == [(15, 1, sha(""), True), (2, 2, sha("7"), True), (0, 0, sha(""), False)]
+
+
 def test_language(spark, docs, rows, nothing):
     rng = random.Random(6)
     alphabet = {"aa": "the of and river stone".split(), "bb": "der die und größe schön".split(), "cc": "que été les où maison".split()}
