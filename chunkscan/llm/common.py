@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -67,27 +68,38 @@ def held_out(doc_id: Column | str, modulus: int, remainder: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` if set."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; where none is set, a local master makes one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-checkpoint-"))
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, passing: list[str] | None = None) -> DataFrame:
     """Writes ``df`` as Parquet into the shared folder and reads it back.
 
     Ends the lineage there, so a lost executor costs a re-read instead of a re-run.
-    The table is deleted when the driver exits.
+    The table is deleted when the driver exits, or with ``passing``, to which its path is added, by ``delete``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_delete, spark, path)
+    if passing is not None:
+        passing.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, passing: list[str]) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for path in passing:
+        _delete(spark, path)
+    passing.clear()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     if jvm is None or spark.sparkContext._jsc is None:

@@ -11,8 +11,8 @@ Labels belong to texts, insults to sentences, so training is by multiple instanc
 mark the toxic sentences are the positives; units of clean texts, those hardest to tell apart
 included, are the negatives. A text scores by its highest unit through a logistic fitted on labels.
 
-Fit on a bounded sample: at most about ``PER_CLASS`` labelled training texts of each class. Scoring
-covers all rows and whole texts.
+Fit on a bounded sample: at most about ``PER_CLASS`` labelled training texts of each class, in one
+task. Scoring covers all rows and whole texts.
 
 Odd cases: a null or empty text has the score of a text without units; a null label or id is not
 learnt from; repeated labels of one id count as toxic if one is; without labels of both classes all
@@ -21,6 +21,7 @@ scores are 0; other columns are not looked at.
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 import uuid
@@ -321,8 +322,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_fold: Column, id_col:
     share = F.when(F.col("y") > 0, min(1.0, PER_CLASS / counts.get(True, 1))).otherwise(min(1.0, PER_CLASS / counts.get(False, 1)))
     drawn = marked.where(draw < share)  # about 2 * PER_CLASS rows at most, hence broadcast
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    got = texts.join(F.broadcast(drawn), "doc_id").toPandas().sort_values(["doc_id", "text"])
-    return train(got["text"].tolist(), (got["y"] > 0).to_numpy())
+
+    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "y": []}), *frames]).sort_values(["doc_id", "text"])
+        model = train(got["text"].tolist(), (got["y"] > 0).to_numpy())
+        yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    # One task trains, so that the driver gets a model of 130 KB and no texts.
+    rows = texts.join(F.broadcast(drawn), "doc_id").repartition(1).mapInPandas(fit, "model binary").collect()
+    return pickle.loads(bytes(rows[0][0])) if rows else None
 
 
 def predict_toxicity(docs: DataFrame, model: KernelSVM | None, held: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
