@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkscan.llm.common import cut
-from chunkscan.llm.near_dedup import word_hashes
+from chunkscan.llm.hashing import word_hashes
 
 #: Units of a model made without counts; numbers a unit; words with counts that all workers hold.
 CLASSES, DIMENSION, HEAD = 2048, 24, 1 << 20

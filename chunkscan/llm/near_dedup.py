@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from chunkscan.llm.common import cut, groups
 from chunkscan.llm.graph import components
+from chunkscan.llm.hashing import mix, word_hashes
 
 RUN, NUMERATOR, DENOMINATOR = 5, 75, 100
 BANDS, ROWS = 32, 3
@@ -44,44 +45,9 @@ BLOCK = 1024
 CHUNK = 1 << 20
 
 _rng = np.random.default_rng(20240501)
-_BYTES = _rng.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 _PLACES = _rng.integers(1, 1 << 63, RUN, np.uint64) | np.uint64(1)
 _MULTIPLY = _rng.integers(1, 1 << 63, HASHES, np.uint64) | np.uint64(1)
 _ADD = _rng.integers(1, 1 << 63, HASHES, np.uint64)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    while len(_powers[0]) < n:
-        size = len(_powers[0])
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            _powers[k] = np.concatenate([_powers[k], _powers[k] * np.uint64(pow(base, size, 1 << 64))])
-    return _powers[0], _powers[1]
-
-
-def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts in order, and how many words each text has."""
-    data = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8)
-    ahead, back = _power_tables(len(data) + 1)
-    gap = _SPACE[data]
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(np.where(gap, np.uint64(0), _BYTES[data] * ahead[: len(data)]), out=total[1:])
-    edge = np.flatnonzero(np.diff(gap, prepend=True))
-    starts, ends = edge[::2], edge[1::2]
-    hashes = mix((total[ends] - total[starts]) * back[starts])
-    bounds = np.cumsum([len(r) + 1 for r in raws])
-    at = np.searchsorted(starts, bounds)
-    return hashes, np.diff(at, prepend=0)
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:

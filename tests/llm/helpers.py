@@ -80,6 +80,23 @@ def repeats(rows: list[tuple], length: int) -> dict[int, tuple]:
     return out
 
 
+def shared_words(rows: list[tuple], length: int) -> dict[int, int]:
+    """doc_id -> words in runs of ``length`` that another row holds too."""
+    words = {i: (t or "").encode().split() for i, t, *_ in rows}
+    seen: dict[tuple, set] = {}
+    for i, w in words.items():
+        for k in range(len(w) - length + 1):
+            seen.setdefault(tuple(w[k : k + length]), set()).add(i)
+    out = {}
+    for i, w in words.items():
+        hit: set[int] = set()
+        for k in range(len(w) - length + 1):
+            if len(seen[tuple(w[k : k + length])]) > 1:
+                hit.update(range(k, k + length))
+        out[i] = len(hit)
+    return out
+
+
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 
 

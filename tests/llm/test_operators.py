@@ -6,6 +6,8 @@ import random
 import re
 import string
 from collections import Counter, defaultdict
+from dataclasses import replace
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -151,11 +153,33 @@ def test_plan_uses_histogram():
 
 def test_suffixes(docs, rows, nothing):
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.repeated_spans(docs).collect()}
-    want = H.repeats(rows, suffix_dedup.LENGTH)
+    want = H.repeats(rows, suffix_dedup.BYTES.length)
     assert got == want and sum(w[1] for w in want.values()) > 0
+    shared = {r["doc_id"]: (r["n_shared_words"], r["shares_passage"]) for r in suffix_dedup.repeated_spans(docs).collect()}
+    want = H.shared_words(rows, suffix_dedup.WORDS.length)
+    assert shared == {i: (n, n > 0) for i, n in want.items()} and any(want.values())
     assert suffix_dedup.repeated_spans(nothing).count() == 0
 
 
+def test_suffixes_odd_rows(spark, monkeypatch):
+    rng = random.Random(18)
+    passage, noise = H.text(rng, 60), [H.text(rng, 70) for _ in range(4)]
+    texts = [None, "", passage, f"{noise[0]} {passage} {noise[0]}", f"{noise[1]}\n{passage}", noise[2], noise[2], f"{noise[3]} {noise[3]}", "word " * 3000, "x" * 5000]
+    data = [(None if k % 3 == 0 else k % 4, t, 1, "s") for k, t in enumerate(texts)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lo long, node string")
+    want = Counter()
+    byte, word = H.repeats([(k, t) for k, t in enumerate(texts)], 400), H.shared_words([(k, t) for k, t in enumerate(texts)], 50)
+    for k, (i, *_) in enumerate(data):
+        want[(i, *byte[k], word[k])] += 1
+    for chunk in (1 << 20, 700):  # texts over the chunk go in segments
+        for name in ("BYTES", "WORDS"):
+            monkeypatch.setattr(suffix_dedup, name, replace(getattr(suffix_dedup, name), chunk=chunk))
+        left = set(Path(suffix_dedup.shared_dir(spark).removeprefix("file:")).glob("texts_*"))
+        got = suffix_dedup.repeated_spans(df)
+        assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], r["n_shared_words"]) for r in got.collect()) == want
+        assert set(Path(suffix_dedup.shared_dir(spark).removeprefix("file:")).glob("texts_*")) == left
+
+
 def test_suffixes_periodic(spark):
     rng = random.Random(8)
     noise = lambda n: "".join(rng.choice(string.ascii_letters) for _ in range(n))
