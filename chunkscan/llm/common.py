@@ -9,6 +9,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from typing import TypeVar
 
@@ -86,13 +87,29 @@ def cut(df: DataFrame, passing: list[str] | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with _shuffles_deleted(spark):
+        df.write.option("compression", "zstd").parquet(path)
     atexit.register(_delete, spark, path)
     if passing is not None:
         passing.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs within go as soon as it has ended, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def delete(spark: SparkSession, passing: list[str]) -> None:
     """Deletes written tables that nothing reads any more."""
     for path in passing:
