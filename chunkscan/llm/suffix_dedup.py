@@ -156,6 +156,27 @@ def _first_digit(order: Order):
     return run
 
 
+def _gathered(parts: Iterator[dict[str, np.ndarray]], key: str = "key", rows: int = 100_000) -> Iterator[pd.DataFrame]:
+    """Columns of many texts in one frame; ``key`` is one value a part."""
+    held: list[dict] = []
+    size = 0
+
+    def out() -> pd.DataFrame:
+        columns = {c: np.concatenate([p[c] for p in held]) for c in held[0] if c != key}
+        keys = np.empty(len(held), object)
+        keys[:] = [p[key] for p in held]
+        return pd.DataFrame({key: np.repeat(keys, [len(p["first"]) for p in held])} | columns)
+
+    for part in parts:
+        held.append(part)
+        size += len(part["first"])
+        if size >= rows:
+            yield out()
+            held, size = [], 0
+    if held:
+        yield out()
+
+
 def _segments(order: Order, frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
     """Of each text with rows (first, last, ...): its key, where a segment begins, hashes of its stretches, and the segment's rows in order."""
     for pdf in frames:
@@ -174,7 +195,7 @@ def _segments(order: Order, frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
 def _second_digit(order: Order):
     """Rows (node, content, key, first, last): group, what their suffixes hold together, and where, for stretches of offsets."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for key, at, held, rows in _segments(order, frames):
             first, last, place, digit = rows.T
             near, far = place - last, place - first
@@ -186,21 +207,21 @@ def _second_digit(order: Order):
             core = held.get(0, p - j * order.block, p - (j + 1) * order.block + 1 + order.length)
             node = mix(digit.view(np.uint64)[row] + mix(core + j.astype(np.uint64)))
             content = mix(held.get(1, p - hi, p - lo + order.length) + lo.astype(np.uint64) * np.uint64(4096) + hi.astype(np.uint64))
-            yield pd.DataFrame({"node": node.view(np.int64), "content": content.view(np.int64), "key": [key] * len(row), "first": p - hi + at, "last": p - lo + at})
+            yield {"key": key, "node": node.view(np.int64), "content": content.view(np.int64), "first": p - hi + at, "last": p - lo + at}
 
-    return run
+    return lambda frames: _gathered(run(frames))
 
 
 def _windows(order: Order):
     """A row (w0, w1, key, first) for each suffix that starts in the stretches given."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for key, at, held, rows in _segments(order, frames):
             first, n = rows[:, 0], rows[:, 1] - rows[:, 0] + 1
             x = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) - at
-            yield pd.DataFrame({"w0": held.get(0, x, x + order.length).view(np.int64), "w1": held.get(1, x, x + order.length).view(np.int64), "key": [key] * len(x), "first": x + at})
+            yield {"key": key, "w0": held.get(0, x, x + order.length).view(np.int64), "w1": held.get(1, x, x + order.length).view(np.int64), "first": x + at}
 
-    return run
+    return lambda frames: _gathered(run(frames))
 
 
 def _repeated(texts: DataFrame, order: Order, passing: list[str]) -> DataFrame:
