@@ -50,10 +50,10 @@ def _leaves(rows: DataFrame, known: int, depth: int, limit: int) -> tuple[DataFr
     fits = sums.where((F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1))
     over = sums.where((F.col("shard_bytes") > limit) & (F.col("shard_rows") > 1)).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
     # A bucket that fits is a shard if its parent is too large; known buckets are.
-    under = fits.withColumn("parent", F.shiftright("prefix", 1)).join(over.withColumn("split", F.lit(True)), ["depth", "parent"], "left")
+    under = fits.withColumn("parent", F.shiftright("prefix", 1)).join(over.withColumn("split", F.lit(True)).hint("merge"), ["depth", "parent"], "left")
     shards = under.where(F.col("split") | (F.col("depth") == first)).select("depth", "prefix", "shard_bytes", "shard_rows")
-    found = climbed.select("fine", "depth", "prefix").join(shards, ["depth", "prefix"])
-    left = hist.join(found.select("fine"), "fine", "left_anti").select("fine", F.col("n").alias("shard_rows"))
+    found = climbed.select("fine", "depth", "prefix").join(shards.hint("merge"), ["depth", "prefix"])
+    left = hist.join(found.select("fine").hint("merge"), "fine", "left_anti").select("fine", F.col("n").alias("shard_rows"))
     return found, left
 
 
@@ -88,7 +88,7 @@ def extendible_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_
         done.append(placed)
         if left.limit(1).count() == 0:
             break
-        todo = cut(tagged.join(left.select("fine"), "fine", "left_semi").drop("fine"))
+        todo = cut(tagged.join(left.select("fine").hint("merge"), "fine", "left_semi").drop("fine"))
         known = depth
         if depth == HASH_BITS:
             if base:
