@@ -6,15 +6,14 @@ window, ``tanh`` of each filter's maximum goes into a softmax over the languages
 probabilities are the mean over its windows.
 
 Fit on a bounded sample: about ``PER_LANGUAGE`` training documents of each language, ``WINDOWS_EACH``
-windows of each. Prediction covers all rows and whole texts.
+windows drawn from the whole of each, so that a very long text does not outweigh all others. Prediction covers all rows and whole texts.
 
-Odd cases: a text that is null or has no letter gets ``und`` with score 0; rows with a null language
+Odd cases: a text that is null or has no letter (Unicode category L, in training and here) gets ``und`` with score 0; rows with a null language
 or id are not learnt from; with nothing to learn from all rows get ``und``; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,6 @@ PER_LANGUAGE, WINDOWS_EACH = 600, 4
 EPOCHS, BATCH, RATE = 4, 64, 0.01
 #: Windows handled at once when predicting.
 BLOCK = 128
-LETTER = re.compile(r"[^\W\d_]")
 NONE = "und"
 
 
@@ -161,7 +159,7 @@ def predict_language(docs: DataFrame, model: ByteCNN | None, held: Column, id_co
                 pending.clear()
 
             for row, text in enumerate(pdf["text"]):
-                if model is None or text is None or not LETTER.search(text):
+                if model is None or text is None or not any(map(str.isalpha, text)):
                     continue
                 pending.append((row, windows(text.encode("utf-8", "surrogatepass"))))
                 size += len(pending[-1][1])
