@@ -211,6 +211,8 @@ def _blocks(members: DataFrame, group: str) -> DataFrame:
     counts = members.groupBy(group, "root").count()
     sizes = counts.groupBy(group).agg(F.max(F.struct("count", "root")).alias("most"), F.sum("count").alias("all"))
     sizes = sizes.select(group, F.col("most.root").alias("main"), F.ceil(F.col("most.count") / BLOCK).alias("mains"), F.ceil((F.col("all") - F.col("most.count")) / BLOCK).alias("rests"), "all")
+    # Cut, so that the join reads both sides by shuffle and a large group can be split among tasks.
+    sizes = cut(sizes)
     # A group that fits into one block is one; else the largest component has blocks of its own, after the others.
     one = F.col("all") <= 2 * BLOCK
     known = members.join(sizes.hint("merge"), group)
