@@ -1,17 +1,26 @@
 """Secret scan: fixed patterns and a randomness test battery, DataFrame functions only.
 
 Base patterns give spans of kinds ``assign``, ``access`` and ``hex``. The battery looks at further
-runs of key-like characters that hold a digit and at least ``LEAST`` characters, infers the smallest
-encoding that covers a run (hex, base32, base64, base64url), and tests its symbols:
+runs of at least ``LEAST`` key-like characters: those of base64 and those of its form for URLs, so that
+a key beside ``/`` or ``-`` is also tested without what it hangs on. It infers the smallest encoding that
+covers a run and tests its symbols. A run of one class of characters (only small letters, only digits)
+cannot be told from a word or a number and is not tested. Tests of uniformity, all of which have to pass:
 
-* chi-squared against the uniform alphabet, read as evidence against plain text: under plain text
-  the statistic is noncentral with ``EFFECT`` times the length, so long runs need to be more uniform;
+* chi-squared against the uniform alphabet (its upper tail);
 * number of runs above and below the middle of the alphabet, and serial correlation at lag one:
-  sequences and patterns that fill the alphabet evenly fail here and are no secrets.
+  sequences and patterns that fill the alphabet evenly fail here.
 
-The p values against plain text go through Benjamini-Hochberg control at rate ``RATE``, separately
-by length class, over all runs of the corpus; the counts for it are a histogram of p values. What
-remains is a span of kind ``random`` unless a base span overlaps it. Places are code points.
+Evidence against plain text, whose p values are joined by Fisher's method:
+
+* the chi-squared value, which plain text makes noncentral by an effect for each character;
+* the number of runs of one class (small, capital, digit, sign), by Chernoff's bound of a binomial.
+
+Effect and rate of plain text are calibrated on the corpus: from all its runs that fail the chi-squared
+test by far, by encoding, but never nearer to random than ``ENCODINGS`` says. The p values go through
+Benjamini-Hochberg control at rate ``RATE``, separately by encoding and length class, over all runs of
+the corpus that pass the tests of uniformity; the counts for it are a histogram of p values. What remains
+is a span of kind ``random`` unless a base span or a span with a smaller p value overlaps it. Places are
+code points.
 
 Odd cases: null and empty texts have no spans; very long runs are tested whole; repeated rows each
 get their spans; an empty table gives an empty result; other columns are not looked at.
@@ -32,21 +41,25 @@ BASE = [
     ("access", r"AKIA[A-Z0-9]+", 0, 18),
     ("hex", r"[0-9a-f]{16,}", 0, 16),
 ]
-LEAST, RATE = 20, 0.01
-CANDIDATE = rf"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{{{LEAST},}}"
-#: Encodings, smallest first: name, pattern, alphabet (fixed values).
+LEAST, RATE = 16, 0.01
+CANDIDATES = [rf"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{{{LEAST},}}={{0,2}}", rf"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{{{LEAST},}}"]
+#: Encodings, smallest first: pattern, alphabet (fixed values); effect of plain text on chi-squared for each character, and its rate of changes of class.
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ENCODINGS = [
-    ("hex", "^[0-9a-f]+$", DIGITS + "abcdef"),
-    ("HEX", "^[0-9A-F]+$", DIGITS + "ABCDEF"),
-    ("base32", "^[A-Z2-7]+$", UPPER + "234567"),
-    ("base64", "^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
-    ("base64url", "^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
+    ("^[0-9a-f]+$", DIGITS + "abcdef", 0.6, 0.15),
+    ("^[0-9A-F]+$", DIGITS + "ABCDEF", 0.6, 0.15),
+    ("^[A-Z2-7]+$", UPPER + "234567", 1.2, 0.05),
+    ("^[a-z0-9]+$", DIGITS + LOWER, 1.2, 0.10),
+    ("^[A-Z0-9]+$", DIGITS + UPPER, 1.2, 0.10),
+    ("^[A-Za-z]+$", UPPER + LOWER, 1.8, 0.12),
+    ("^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS, 2.2, 0.15),
+    ("^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/", 2.2, 0.15),
+    ("^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_", 2.2, 0.20),
 ]
-#: Excess of sum(p^2) * alphabet size over 1 that plain text has at least, by alphabet size.
-EFFECT = {16: 0.6, 32: 1.2, 64: 2.2}
-#: Two-sided bound on the z values of the runs and serial tests.
-BOUND = 3.3
+#: Bound on the z values of the tests of uniformity; chi-squared's beyond which a run counts as text.
+BOUND, TEXT = 3.3, 6.0
+#: Changes of class, or characters, that what is known beforehand of plain text counts for.
+PRIOR = 1000.0
 #: Steps of -log10 p in the histogram.
 STEPS_PER_DECADE = 20
 
@@ -80,29 +93,72 @@ def _tail(z: Column) -> Column:
     return F.when(x <= 1, F.lit(1.0)).otherwise(F.exp(-x * x / 2) / (x * math.sqrt(2 * math.pi)))
 
 
+def _chosen(encoding: Column, values: list) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), encoding)
+
+
 def _battery(v: Column) -> Column:
-    """struct<n, p, even>: length, p value against plain text, whether runs and serial tests pass."""
+    """struct<enc, n, chi, changes, text, even>: encoding from 1 (0: none), length, chi-squared, changes of class; whether chi-squared calls it text, and whether all tests call it uniform."""
+    classes = F.translate(v, UPPER + LOWER + DIGITS + "+/-_", "A" * 26 + "a" * 26 + "0" * 10 + "....")
+    known = F.lit(0)
+    for k, (pattern, *_) in reversed(list(enumerate(ENCODINGS, 1))):
+        known = F.when(v.rlike(pattern), F.lit(k)).otherwise(known)
+    return F.transform(F.array(F.struct(known.alias("enc"), v.alias("v"), classes.alias("c"))), _tests)[0]
+
+
+def _tests(x: Column) -> Column:
+    v, enc = x["v"], F.greatest(x["enc"], F.lit(1))
     n = F.length(v).cast("double")
-    chars = F.split(v, "")
-    squares = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda a, c: a + F.pow((F.length(v) - F.length(F.replace(v, c, F.lit("")))).cast("double"), F.lit(2.0)))
-    out = F.struct(n.alias("n"), F.lit(1.0).alias("p"), F.lit(False).alias("even"))
-    for _, pattern, alphabet in reversed(ENCODINGS):
-        k = len(alphabet)
-        chi, df, shift = F.lit(float(k)) / n * squares - n, k - 1.0, n * EFFECT[k]
-        p = _tail((chi - (df + shift)) / F.sqrt(2 * (df + 2 * shift)))
-        side = F.translate(v, alphabet, "a" * (k // 2) + "b" * (k // 2))
-        runs = F.length(F.regexp_replace(F.regexp_replace(side, "a+", "a"), "b+", "b")).cast("double")
-        z_runs = (runs - (n + 1) / 2) / F.sqrt((n - 1) / 4)
-        value = F.transform(chars, lambda c: F.instr(F.lit(alphabet), c).cast("double") - (k + 1) / 2)
-        pairs = F.zip_with(value, F.slice(value, 2, F.size(value)), lambda a, b: F.coalesce(a * b, F.lit(0.0)))
-        z_serial = F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x) / ((k * k - 1) / 12.0) / F.sqrt(n - 1)
-        even = (F.abs(z_runs) <= BOUND) & (F.abs(z_serial) <= BOUND)
-        out = F.when(v.rlike(pattern), F.struct(n.alias("n"), p.alias("p"), even.alias("even"))).otherwise(out)
+    alphabet = _chosen(enc, [a for _, a, *_ in ENCODINGS])
+    k = F.length(alphabet).cast("double")
+    count = lambda c: (F.length(v) - F.length(F.replace(v, c, F.lit("")))).cast("double")
+    squares = F.aggregate(F.split(alphabet, ""), F.lit(0.0), lambda a, c: a + count(c) * count(c))
+    chi = k / n * squares - n
+    z_chi = (chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
+    side = F.call_function("translate", v, alphabet, _chosen(enc, ["a" * (len(a) // 2) + "b" * (len(a) // 2) for _, a, *_ in ENCODINGS]))
+    runs = F.length(F.regexp_replace(side, r"(.)\1+", "$1")).cast("double")
+    z_runs = (runs - (n + 1) / 2) / F.sqrt((n - 1) / 4)
+    value = F.transform(F.split(v, ""), lambda c: F.instr(alphabet, c).cast("double") - (k + 1) / 2)
+    pairs = F.zip_with(value, F.slice(value, 2, F.size(value)), lambda a, b: F.coalesce(a * b, F.lit(0.0)))
+    z_serial = F.aggregate(pairs, F.lit(0.0), lambda a, y: a + y) / ((k * k - 1) / 12.0) / F.sqrt(n - 1)
+    changes = F.length(F.regexp_replace(x["c"], r"(.)\1+", "$1")) - 1
+    text = z_chi > TEXT
+    even = (x["enc"] > 0) & (changes > 0) & (z_chi <= BOUND) & (F.abs(z_runs) <= BOUND) & (F.abs(z_serial) <= BOUND)
+    return F.struct(x["enc"].alias("enc"), n.alias("n"), chi.alias("chi"), changes.alias("changes"), (text & (x["enc"] > 0)).alias("text"), even.alias("even"))
+
+
+def _plain(tests: DataFrame) -> list[tuple[float, float]]:
+    """By encoding, effect and rate of plain text: what is known beforehand and all runs of the corpus that look like text; 9 rows at most."""
+    df = _chosen(F.greatest("enc", F.lit(1)), [len(a) - 1.0 for _, a, *_ in ENCODINGS])
+    sums = tests.where("text").groupBy("enc").agg(F.sum(F.col("chi") - df).alias("effect"), F.sum("n").alias("n"), F.sum("changes").alias("changes"), F.sum(F.col("n") - 1).alias("places"))
+    got = {r["enc"]: r for r in sums.collect()}
+    out = []
+    for k, (_, _, effect, rate) in enumerate(ENCODINGS, 1):
+        if k in got:
+            r = got[k]
+            # Half the mean effect, since runs that chi-squared rejects are not all runs of text.
+            effect = min(effect, (effect * PRIOR + r["effect"] / 2) / (PRIOR + r["n"]))
+            rate = max(rate, min(0.9, (rate * PRIOR + r["changes"]) / (PRIOR + r["places"])))
+        out.append((max(0.1, effect), rate))
     return out
 
 
-def _stratum(n: Column) -> Column:
-    return F.least(F.floor(F.log2(n)), F.lit(40)).cast("int")
+def _p_value(c: Column, plain: list[tuple[float, float]]) -> Column:
+    """p value of a run against plain text."""
+    enc = F.greatest(c["enc"], F.lit(1))
+    df = _chosen(enc, [len(a) - 1.0 for _, a, *_ in ENCODINGS])
+    shift, rate = c["n"] * _chosen(enc, [e for e, _ in plain]), _chosen(enc, [q for _, q in plain])
+    p_chi = _tail((c["chi"] - (df + shift)) / F.sqrt(2 * (df + 2 * shift)))
+    share = c["changes"] / (c["n"] - 1)
+    gain = share * F.log(share / rate) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(F.lit(0.0))
+    p_changes = F.when(share > rate, F.exp(-(c["n"] - 1) * gain)).otherwise(F.lit(1.0))
+    both = F.greatest(p_chi * p_changes, F.lit(1e-300))
+    return F.least(both * (1 - F.log(both)), F.lit(1.0))
+
+
+def _stratum(c: Column) -> Column:
+    """Encoding and length class as one number."""
+    return (c["enc"] * 64 + F.least(F.floor(F.log2(c["n"])), F.lit(40))).cast("int")
 
 
 def _bucket(p: Column) -> Column:
@@ -111,10 +167,10 @@ def _bucket(p: Column) -> Column:
 
 
 def _thresholds(tests: DataFrame) -> dict[int, int]:
-    """By length class, the least bucket that Benjamini-Hochberg accepts; at most 41 classes."""
+    """By encoding and length class, the least bucket that Benjamini-Hochberg accepts; at most 9 times 41 classes."""
     hist = tests.groupBy("stratum", "bucket").count()
     totals = hist.groupBy("stratum").agg(F.sum("count").alias("m"))
-    # At most 41 classes of 6000 buckets: the pairs stay in the thousands at any corpus size.
+    # At most 369 classes of 6000 buckets each, whatever the corpus: pairs are within a class, and are numbers, not runs.
     above = hist.alias("x").join(hist.alias("y"), (F.col("x.stratum") == F.col("y.stratum")) & (F.col("y.bucket") >= F.col("x.bucket")))
     ranks = above.groupBy(F.col("x.stratum").alias("stratum"), F.col("x.bucket").alias("bucket")).agg(F.sum("y.count").alias("rank"))
     p = F.pow(F.lit(10.0), -F.col("bucket") / float(STEPS_PER_DECADE))
@@ -127,17 +183,26 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).alias("doc_id"), text.alias("t"))
     by_kind = [_spans(F.col("t"), pattern, group, least).alias(kind) for kind, pattern, group, least in BASE]
-    tried = F.transform(_spans(F.col("t"), CANDIDATE, 0, LEAST), lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), _battery(c["v"]).alias("b")))
-    found = source.select("doc_id", *by_kind, tried.alias("tried"))
+    tested = lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), _battery(F.rtrim(c["v"], F.lit("="))).alias("b"))
+    tried = F.transform(F.array_distinct(F.concat(*[_spans(F.col("t"), pattern, 0, LEAST) for pattern in CANDIDATES])), tested)
     slim = [_slim(kind, i).alias(kind) for i, (kind, *_) in enumerate(BASE)]
-    kept = cut(found.select("doc_id", *slim, F.transform("tried", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), c["b"]["even"].alias("even"), _stratum(c["b"]["n"]).alias("stratum"), _bucket(c["b"]["p"]).alias("bucket"))).alias("tried")))
-    limits = _thresholds(kept.select(F.explode("tried").alias("c")).where("c.even").select("c.stratum", "c.bucket"))
+    kept = cut(source.select("doc_id", *by_kind, tried.alias("tried")).select("doc_id", *slim, "tried"))
+    every = kept.select(F.explode("tried").alias("c"))
+    plain = _plain(every.select("c.b.*"))
+    limits = _thresholds(every.where("c.b.even").select(_stratum(F.col("c.b")).alias("stratum"), _bucket(_p_value(F.col("c.b"), plain)).alias("bucket")))
     base = F.array_sort(F.concat(*[kind for kind, *_ in BASE]))
     marked = kept.withColumn("base", base)
     if limits:
         limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
-        ok = lambda c: c["even"] & F.coalesce(c["bucket"] >= limit[c["stratum"]], F.lit(False)) & ~F.exists("base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]))
-        more = F.transform(F.filter("tried", ok), lambda c: F.struct(c["s"].alias("s"), F.lit(len(BASE)).alias("k"), c["e"].alias("e")))
+        meets = lambda a, b: (a["s"] < b["e"]) & (b["s"] < a["e"])
+        told_p = lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), _stratum(c["b"]).alias("stratum"), _bucket(_p_value(c["b"], plain)).alias("bucket"))
+        marked = marked.withColumn("random", F.transform(F.filter("tried", lambda c: c["b"]["even"]), told_p))
+        ok = lambda c: F.coalesce(c["bucket"] >= limit[c["stratum"]], F.lit(False)) & ~F.exists("base", lambda b: meets(b, c))
+        marked = marked.withColumn("random", F.filter("random", ok))
+        # Of spans that overlap, the one with the least p value, then the shortest, then the first.
+        rank = lambda c: F.struct(-c["bucket"], c["e"] - c["s"], c["s"])
+        first = lambda c: ~F.exists("random", lambda d: meets(c, d) & (rank(d) < rank(c)))
+        more = F.transform(F.filter("random", first), lambda c: F.struct(c["s"].alias("s"), F.lit(len(BASE)).alias("k"), c["e"].alias("e")))
     else:
         more = F.array().cast("array<struct<s:int,k:int,e:int>>")
     marked = marked.withColumn("random", more)
