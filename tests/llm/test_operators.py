@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chunkscan.llm import exact_dedup as ed
-from chunkscan.llm import language_id, lm_score, near_dedup, packing, suffix_dedup, toxicity
+from chunkscan.llm import decontaminate, language_id, lm_score, near_dedup, packing, secrets, suffix_dedup, toxicity
 from chunkscan.llm.common import held_out, make_importable
 from chunkscan.llm.decontaminate import contamination
 from chunkscan.llm.graph import components
@@ -133,22 +133,58 @@ def test_packing(docs, rows, nothing):
 def test_special_tokens_keep_their_case():
     from tokenizers import Tokenizer
 
-    texts = ["a <|ENDOFTEXT|> b", "<|endoftext|>", "Word<|StartOfText|>Word <|startoftext|>WORD!", "<| X"]
+    texts = ["a <|ENDOFTEXT|> b", "<|endoftext|>", "Word<|StartOfText|>Word <|startoftext|>WORD!", "<| X", "İ;", "Kİ!? İ i̇; É, e\u0301;"]
     tok, encoder = Tokenizer.from_file(TOKENIZER), packing.WordEncoder(TOKENIZER)
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_of_any_signs_have_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(21)
+    added = ["<|endoftext|>", "<|startoftext|>", "<|", "|>"]
+    odd = [chr(p) for p in (0x130, 0x131, 0x307, 0x301, 0xDF, 0x1E9E, 0x3A3, 0x3C2, 0xBD, 0xB2, 0x2167, 0x660, 0xFB01, 0x212A, 0x1C5, 0x85, 0xA0, 0x3000, 0x200B, 0x1F, 0x0, 0x4E00, 0xAC00, 0x1100, 0x1F600)]
+    sign = lambda: rng.choice([rng.choice(string.printable), rng.choice(odd), chr(rng.choice([rng.randrange(32, 0x250), rng.randrange(0x250, 0x3000), rng.randrange(0x3000, 0xD800), rng.randrange(0xE000, 0x20000)])), rng.choice(".,;:!?*#$%&|' ")])
+    cased = lambda w: "".join(rng.choice([c.lower(), c.upper()]) for c in w)
+    texts = ["".join(sign() for _ in range(rng.randint(1, 8))) for _ in range(90_000)]
+    texts += ["".join(rng.choice([sign(), cased(rng.choice(added)), rng.choice(added)]) for _ in range(rng.randint(1, 5))) for _ in range(10_000)]
+    tok, encoder = Tokenizer.from_file(TOKENIZER), packing.WordEncoder(TOKENIZER)
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+    want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, g, w in zip(texts, got, want) if g != w] == []
+
+
 def test_plan_uses_histogram():
     rng = random.Random(2)
-    for _ in range(5):
-        hist = Counter(rng.choice([rng.randint(1, 4096), rng.randint(1, 300)]) for _ in range(2000))
-        plan, used = packing.plan_packing(dict(hist)), Counter()
+    for capacity in (4096, 4096, 64, 7):
+        hist = Counter(min(capacity, rng.choice([rng.randint(1, capacity), rng.randint(1, 300)])) for _ in range(2000))
+        plan, used = packing.plan_packing(dict(hist), capacity), Counter()
         for config, times in plan:
-            assert sum(a * b for a, b in config) <= 4096
+            assert sum(a * b for a, b in config) <= capacity
             for a, b in config:
                 used[a] += b * times
         assert used == hist
-        assert sum(t for _, t in plan) <= 1.01 * sum(a * b for a, b in hist.items()) / 4096 + 1
+        assert sum(t for _, t in plan) <= 1.01 * max(sum(a * b for a, b in hist.items()) / capacity, sum(n for a, n in hist.items() if 2 * a > capacity)) + 1
+    assert packing.plan_packing({4096: 3, 1: 1}) and packing.plan_packing({}) == []
+
+
+def test_linear_program_carries_the_plan():
+    """Columns of the programs place nearly all pieces; the program's value lies between its dual bound and the plan."""
+    rng = random.Random(4)
+    hist = Counter(rng.choice([rng.randint(1, 4096), rng.randint(1, 900), rng.randint(1, 900)]) for _ in range(3000))
+    plan, placed, bound = packing._plan(dict(hist), 4096)
+    sequences = sum(t for _, t in plan)
+    assert placed >= 0.9 * sum(hist.values()) and bound <= sequences <= bound + 2
+    left = np.zeros(4097, np.int64)
+    for n, c in hist.items():
+        left[n] = c
+    use, _ = packing.solve_program(left)
+    covered = Counter()
+    for config, x in use.items():
+        assert sum(a * b for a, b in config) == 4096
+        for a, b in config:
+            covered[a] += b * x
+    assert all(covered[n] <= c + 1e-9 for n, c in hist.items()) and sum(covered.values()) >= 0.8 * sum(hist.values())
 
 
 def test_suffixes(docs, rows, nothing):
@@ -212,6 +248,57 @@ def test_secrets(spark, rows, docs, nothing):
     assert scan_secrets(docs).count() == len(rows) and scan_secrets(nothing).count() == 0
 
 
+def test_battery_equals_plain_version(spark):
+    rng = random.Random(31)
+    alphabets = [a for _, a, *_ in secrets.ENCODINGS]
+    runs = ["".join(rng.choice(a) for _ in range(rng.choice([16, 24, 33, 64, 200]))) for a in alphabets for _ in range(8)]
+    runs += ["AbstractSingletonProxyFactoryBean2", "some/path/to/a/File123", "0123456789abcdef" * 4, "Zz" * 20, "a-b_c-d_e-f_g-h_i", "7" * 20]
+    got = spark.createDataFrame(list(enumerate(runs)), "i long, v string").select("i", secrets._battery(F.col("v")).alias("b")).collect()
+    for r in got:
+        v, b = runs[r["i"]], r["b"]
+        enc = next((k for k, (p, *_) in enumerate(secrets.ENCODINGS, 1) if re.fullmatch(p.strip("^$"), v)), 0)
+        a, n = secrets.ENCODINGS[max(enc, 1) - 1][1], len(v)
+        k, x = len(a), [secrets.ENCODINGS[max(enc, 1) - 1][1].index(c) + 1 for c in v]
+        chi = k / n * sum(c * c for c in Counter(v).values()) - n
+        kind = ["u" if c.isupper() else "l" if c.islower() else "d" if c.isdigit() else "s" for c in v]
+        changes = sum(p != q for p, q in zip(kind, kind[1:]))
+        z_runs = (1 + sum((p <= k // 2) != (q <= k // 2) for p, q in zip(x, x[1:])) - (n + 1) / 2) / math.sqrt((n - 1) / 4)
+        z_serial = sum((p - (k + 1) / 2) * (q - (k + 1) / 2) for p, q in zip(x, x[1:])) / ((k * k - 1) / 12) / math.sqrt(n - 1)
+        z_chi = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+        text = z_chi > secrets.TEXT
+        even = changes > 0 and z_chi <= secrets.BOUND and abs(z_runs) <= secrets.BOUND and abs(z_serial) <= secrets.BOUND
+        assert (b["enc"], b["n"], b["changes"], b["text"], b["even"]) == (enc, n, changes, text, even) and b["chi"] == pytest.approx(chi)
+
+
+def test_random_keys_of_any_encoding(spark):
+    """At least 0.9 of the keys of 24 characters and more, whatever the encoding, and no plain word."""
+    rng = random.Random(17)
+    upper, lower, digits = string.ascii_uppercase, string.ascii_lowercase, string.digits
+    kinds = {"letters": (upper + lower, 32), "HEX": (digits + "ABCDEF", 40), "base32": (upper + "234567", 32), "base64": (upper + lower + digits + "+/", 40), "url": (upper + lower + digits + "-_", 43)}
+    kinds |= {f"base62 {n}": (upper + lower + digits, n) for n in (20, 24, 32, 40, 64)}
+    decoys = ["https://example.org/some/path/to/a/page/index", "a_very_long_identifier_for_the_window", "InternationalizationOfApplications", "donaudampfschifffahrtsgesellschaft", "2024-01-15-release-notes-final", "0123456789012345678901234567890"]
+    data, keys = [], {}
+    for kind, (alphabet, n) in kinds.items():
+        for _ in range(100):
+            key, before = "".join(rng.choice(alphabet) for _ in range(n)), rng.choice(["see ", "x/y-z/", "é: "])
+            keys[len(data)] = (kind, len(before), len(before) + n, key)
+            data.append((len(data), f"{before}{key} {rng.choice(decoys)} {H.text(rng, 20)}"))
+    got = {r["doc_id"]: r["spans"] for r in scan_secrets(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    hit, wrong = Counter(), 0
+    for i, (kind, a, b, _) in keys.items():
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[i].split(",") if x.startswith("random:")]
+        hit[kind] += any(s < b and a < e for s, e in spans)
+        wrong += sum(not (s < b and a < e) for s, e in spans)
+    assert {k: n for k, n in hit.items() if n < 90 and k != "base62 20"} == {} and wrong <= 0.02 * len(data)
+
+
+def test_secrets_in_a_very_long_run(spark):
+    rng = random.Random(2)
+    text = "".join(rng.choice(string.ascii_uppercase + string.digits) for _ in range(300_000)).replace("AKIA", "KAIA")
+    got = scan_secrets(spark.createDataFrame([(1, text), (2, "a" * 200_000)], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["spans"] for r in got} == {1: "random:0:300000", 2: "hex:0:200000"}
+
+
 def test_shards(docs, rows, nothing):
     limit = 3000
     got = extendible_shards(docs, limit).collect()
@@ -249,20 +336,32 @@ def test_shards_of_a_row_over_the_limit(spark):
         assert sorted(map(tuple, got)) == sorted(con.execute(ORACLES["op3_sharding"]).fetchall())
 
 
-def test_contamination(spark, docs, rows, nothing):
+@pytest.mark.parametrize("rows_broadcast", [decontaminate.BROADCAST_ROWS, 0])
+def test_contamination(spark, docs, rows, nothing, rows_broadcast, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", rows_broadcast)
+    monkeypatch.setattr(decontaminate, "SEGMENT", 64)
     passage = next(t for _, t, *_ in rows if t and len(t.split()) > 100)
-    items = [(1, " ".join(passage.split()[3:20]).upper()), (2, "Two, words!"), (3, "one"), (4, None), (5, "..."), (11, " ".join(passage.split()[15:40])), (6, "never seen words in here at all or so it goes")]
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    want = H.windows_hit(rows, items)
-    for r in contamination(docs, bench).collect():
-        n, hit, found = want[r["doc_id"]]
-        assert (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) == (n, hit, len(found), hit > 0)
-        assert r["items_sha256"] == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
-    assert any(h for _, h, _ in want.values())
+    items = [(1, " ".join(passage.split()[3:20]).upper()), (2, "Two, words!"), (3, "one"), (4, None), (5, "..."), (11, " ".join(passage.split()[15:40])), (6, "never seen words in here at all or so it goes"), (7, "ab " * 12), (8, "AB ab " * 9), (8, "one")]
+    for some in (items, [i for i in items if i[0] in (1, 4, 5, 11, 6)]):
+        bench = spark.createDataFrame(some, "item_id long, text string").withColumn("rid", F.lit(1))
+        want = H.windows_hit(rows, some)
+        for r in decontaminate.contamination(docs.withColumn("w", F.lit(0)), bench).collect():
+            n, hit, found = want[r["doc_id"]]
+            assert (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) == (n, hit, len(found), hit > 0)
+            assert r["items_sha256"] == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        assert any(h for _, h, _ in want.values())
     assert contamination(nothing, bench).count() == 0
     assert contamination(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_contamination_of_one_word_repeated(spark):
+    """Places times items is never spelt out: one window, however many items hold it."""
+    docs = spark.createDataFrame([(1, "w " * 100_000), (1, "w " * 9), (None, "v w " * 50)], "doc_id long, text string")
+    bench = spark.createDataFrame([*((k, "w " * 40) for k in range(50)), (99, "v w v w")], "item_id long, text string")
+    got = sorted((r["n_words"], r["n_hit"], r["n_items"]) for r in contamination(docs, bench).collect())
+    assert got == [(9, 0, 0), (100, 100, 1), (100_000, 100_000, 50)]
+
+
 def test_contamination_by_items_without_id(spark):
     passage = " ".join(f"w{k}" for k in range(15))
     docs = spark.createDataFrame([(1, f"a {passage} b"), (2, "one other"), (3, "clean")], "doc_id long, text string")
@@ -277,7 +376,7 @@ def test_language(spark, docs, rows, nothing):
     rng = random.Random(6)
     alphabet = {"aa": "the of and river stone".split(), "bb": "der die und größe schön".split(), "cc": "que été les où maison".split()}
     data = [(i, " ".join(rng.choice(alphabet[lang]) for _ in range(rng.randint(5, 200))), lang) for i in range(300) for lang in [rng.choice(list(alphabet))]]
-    data += [(900, None, "aa"), (901, "123 ...", "aa"), (902, "", None)]
+    data += [(900, None, "aa"), (901, "123 ... \u00bd \u00b2 \u2167", "aa"), (902, "", None)]
     df = spark.createDataFrame(data, "doc_id long, text string, lang string")
     held = held_out("doc_id", 3, 1)
     model = language_id.fit_language_model(df, ~held)
