@@ -4,8 +4,10 @@
 2. Senders (bounded runs of rows) sort their fingerprints, ``log2(rows) + 8`` bits each, and send
    each owner of a fingerprint range one Golomb-Rice coded list (about 11 bits a fingerprint).
 3. Owners answer with one bitmap per sender: which of its fingerprints exist elsewhere.
-4. Only rows with a set bit are suspects. Their texts are fetched by id, so no text key is hot,
-   and are grouped by the bytes themselves after a map-side combine.
+4. Only rows with a set bit are suspects. At the source, texts first pass a bit table of the suspects'
+   digests, of ``SLOTS`` words whatever the corpus; those that are left meet the suspects by id, so no
+   text key is hot, and are grouped by the bytes themselves after a map-side combine. Two texts under
+   one SHA-256, none of which are known, would be an error.
 
 Results in odd cases: a null text counts as empty; a null id is kept only if no equal text has an
 id, and ``keep_id`` is then null; of rows repeated with the same id exactly one is kept; other
@@ -25,6 +27,8 @@ from chunkscan.llm.common import WORD_GAP, cut
 
 ROWS_PER_SENDER = 1 << 20
 ROWS_PER_OWNER = 1 << 21
+#: Words of 64 bits of the table that texts pass before they are shuffled: its size is fixed, beyond some 10^7 suspects it passes most.
+SLOTS = 1 << 18
 #: Bits beyond log2(rows): one row in 2**SPARE_BITS is a false suspect.
 SPARE_BITS = 8
 
@@ -65,7 +69,7 @@ def _owners(prints: np.ndarray, bits: int, owners: int) -> np.ndarray:
 
 
 def find_suspects(prints: DataFrame, rows: int) -> DataFrame:
-    """Rows (doc_id, sha) of ``prints`` (sender, doc_id, sha) whose fingerprint occurs elsewhere too."""
+    """Rows (doc_id, sha, rid) of ``prints`` (sender, doc_id, sha, rid) whose fingerprint occurs elsewhere too."""
     bits = min(62, max(1, math.ceil(math.log2(max(rows, 2)))) + SPARE_BITS)
     slots = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     owners = max(slots, -(-rows // ROWS_PER_OWNER))
@@ -92,13 +96,22 @@ def find_suspects(prints: DataFrame, rows: int) -> DataFrame:
         for o, bitmap in zip(maps["owner"], maps["bitmap"]):
             lo, hi = np.searchsorted(owner, [o, o + 1])
             hit[order[lo:hi]] = np.unpackbits(np.frombuffer(bytes(bitmap), np.uint8), count=hi - lo).astype(bool)
-        return mine.loc[hit, ["doc_id", "sha"]]
+        return mine.loc[hit, ["doc_id", "sha", "rid"]]
 
     by_sender = prints.groupBy("sender")
     blobs = by_sender.applyInPandas(send, "sender long, owner long, blob binary")
     maps = blobs.groupBy("owner").applyInPandas(answer, "sender long, owner long, bitmap binary")
     id_type = prints.schema["doc_id"].dataType.simpleString()
-    return by_sender.cogroup(maps.groupBy("sender")).applyInPandas(receive, f"doc_id {id_type}, sha binary")
+    return by_sender.cogroup(maps.groupBy("sender")).applyInPandas(receive, f"doc_id {id_type}, sha binary, rid long")
+
+
+def _passing(source: DataFrame, suspects: DataFrame) -> DataFrame:
+    """Rows of ``source`` whose digest's bit is set in a table of all suspects' digests; ``SLOTS`` rows at most, hence broadcast."""
+    # A mask, unlike a remainder, is never null, so that no filter on it is put in front and the digest is taken once.
+    slot, bit = F.xxhash64("sha").bitwiseAND(F.lit(SLOTS - 1)), F.shiftright(F.xxhash64("sha"), 58).bitwiseAND(F.lit(63))
+    table = suspects.select(slot.alias("slot"), F.expr("shiftleft(1L, CAST(shiftright(xxhash64(sha), 58) & 63 AS INT))").alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("bits"))
+    met = source.withColumn("slot", slot).join(F.broadcast(table), "slot")
+    return met.where(F.getbit("bits", bit.cast("int")) == 1).drop("slot", "bits")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -110,22 +123,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = prints.count()
     slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     senders = max(slots, -(-rows // ROWS_PER_SENDER))
-    dealt = prints.select(F.pmod(F.xxhash64("rid"), F.lit(senders)).alias("sender"), "doc_id", "sha")
-    suspects = cut(find_suspects(dealt, rows).distinct())
+    dealt = prints.select(F.pmod(F.xxhash64("rid"), F.lit(senders)).alias("sender"), "doc_id", "sha", "rid")
+    suspects = cut(find_suspects(dealt, rows))
 
-    # Merge join at every size, so that the cost of fetching does not jump with the number of suspects.
-    s = suspects.hint("merge").select(F.col("doc_id").alias("s_id"), F.col("sha").alias("s_sha"))
-    fetched = source.join(s, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("sha") == F.col("s_sha")), "left_semi")
+    # Merge join at every size, so that the cost of fetching does not jump with the number of suspects. An inner join: a semi join would be
+    # moved in front of the bit table.
+    s = suspects.select(F.col("doc_id").alias("s_id"), F.col("sha").alias("s_sha")).distinct().hint("merge")
+    fetched = _passing(source, suspects).join(s, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("sha") == F.col("s_sha")))
     classes = cut(fetched.groupBy("sha", "text").agg(F.count(F.lit(1)).alias("group_size")).select("sha", "group_size"))
-    clash = classes.groupBy("sha").count().where("count > 1").limit(1).count() > 0
-    if clash:  # two texts under one SHA-256: number them by their bytes
+    if classes.groupBy("sha").count().where("count > 1").limit(1).count():  # two texts under one SHA-256
         raise ArithmeticError("two different texts share a SHA-256; grouping by digest would be wrong")
     sizes = classes.where("group_size > 1").select("sha", "group_size")
-    first = prints.join(sizes.select("sha").hint("merge"), "sha", "left_semi").groupBy("sha").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), "rid")).alias("first")
-    )
+    # Added up before the join, so that a large group is a few rows.
+    first = suspects.groupBy("sha").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), "rid")).alias("first"))
     # Cut, so that the last join reads both sides by shuffle and a large group can be split among tasks.
-    keep = cut(sizes.join(first, "sha").select("sha", "group_size", F.col("first.d").alias("keep_id"), F.col("first.rid").alias("keep_rid")))
+    keep = cut(sizes.join(first.hint("merge"), "sha").select("sha", "group_size", F.col("first.d").alias("keep_id"), F.col("first.rid").alias("keep_rid")))
     alone = F.col("keep_rid").isNull()
     return prints.join(keep.hint("merge"), "sha", "left").select(
         "doc_id",
