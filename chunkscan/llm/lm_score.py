@@ -50,16 +50,15 @@ CHUNK, GATHER = 1 << 21, 2_000_000
 
 def _chunks(pdf: pd.DataFrame) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Row range, hashes of its tokens with ends, and tokens by row."""
-    raws = [(t or "").encode("utf-8", "surrogatepass").lower() for t in pdf["text"]]
-    lo = 0
-    while lo < len(raws):
-        hi, size = lo, 0
-        while hi < len(raws) and (hi == lo or size + len(raws[hi]) <= CHUNK):
-            size += len(raws[hi]) + 1
-            hi += 1
-        hashes, counts = word_hashes(raws[lo:hi])
-        yield lo, hi, np.insert(hashes, np.cumsum(counts), END_HASH), counts + 1
-        lo = hi
+    raws, size, lo = [], 0, 0
+    for hi, text in enumerate([*pdf["text"], None], 0):
+        raw = (text or "").encode("utf-8", "surrogatepass").lower()
+        if raws and (hi == len(pdf) or size + len(raw) > CHUNK):
+            hashes, counts = word_hashes(raws)
+            yield lo, hi, np.insert(hashes, np.cumsum(counts), END_HASH), counts + 1
+            raws, size, lo = [], 0, hi
+        raws.append(raw)
+        size += len(raw) + 1
 
 
 def _add_up(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,12 +112,31 @@ def _before(units: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
     return out
 
 
-def _scatter(rows: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ``rows`` and the sums of their gradients."""
-    order = np.argsort(rows, kind="stable")
+def _order(rows: np.ndarray) -> np.ndarray:
+    """Places of ``rows`` in order, by numpy's radix sort of 16-bit digits."""
+    order = np.argsort((rows & 0xFFFF).astype(np.uint16), kind="stable")
+    high = rows >> 16
+    while high.any():
+        order = order[np.argsort((high & 0xFFFF).astype(np.uint16)[order], kind="stable")]
+        high >>= 16
+    return order
+
+
+def _scatter(rows: np.ndarray, grads: np.ndarray, scale: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``rows`` and the sums of their gradients.
+
+    With ``scale``, each line of ``grads`` is for equally many rows in turn, times their ``scale``, which is itself the last column.
+    """
+    order = _order(rows)
     at = rows[order]
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    return at[first], np.add.reduceat(grads[order], first, axis=0)
+    lines = np.take(grads, order // (len(rows) // len(grads)), axis=0)
+    if scale is not None:
+        scale = scale[order]
+        lines *= scale[:, None]
+    # Pairs of floats are added as one complex number, which takes half the time.
+    sums = np.add.reduceat(lines.view(np.complex64), first, axis=0).view(np.float32)
+    return at[first], sums if scale is None else np.column_stack([sums, np.add.reduceat(scale, first)])
 
 
 class LogBilinear:
@@ -140,48 +158,70 @@ class LogBilinear:
         rng = np.random.default_rng(12)
         self.units = len(mass)
         self.fan = max(2, next(f for f in range(1, self.units + 2) if f**LEVELS >= self.units))
-        self.t = []
+        levels = []
         for level in range(LEVELS):
             start = np.arange(0, self.units, self.fan ** (LEVELS - 1 - level))
             own = np.add.reduceat(mass + 0.5, start)
             parent = np.arange(len(own)) // self.fan
             bias = np.log(own / np.bincount(parent, own)[parent])
-            self.t.append(np.column_stack([rng.normal(0, 0.1, (len(own), DIMENSION)), bias]).astype(np.float32))
+            levels.append(np.column_stack([rng.normal(0, 0.1, (len(own), DIMENSION)), bias]).astype(np.float32))
+        self.t, self.edges = np.concatenate(levels), np.cumsum([0, *map(len, levels)])
 
     def parts(self) -> list[np.ndarray]:
-        return [self.r, *self.t, self.c.reshape(CONTEXT, -1)]
+        return [self.r, self.t, self.c.reshape(CONTEXT, -1)]
 
     def learn(self, before: np.ndarray, unit: np.ndarray, squares: list[np.ndarray], rate: float, rng: np.random.Generator, seen: list[np.ndarray] | None = None) -> None:
-        """One Adagrad step of noise-contrastive estimation: at each level the true node against ``NOISE`` of its sisters."""
-        rs = [self.r[before[:, j]] for j in range(CONTEXT)]
-        hidden = sum(x @ c for x, c in zip(rs, self.c))
-        wide = np.column_stack([hidden, np.ones(len(hidden), np.float32)])
-        g_hidden = np.zeros_like(hidden)
-        steps = []
-        for level, t in enumerate(self.t):
+        """One Adagrad step, with one sum of squares a row, of noise-contrastive estimation: at each level the true node against ``NOISE`` of its sisters."""
+        around = np.take(self.r, before, axis=0).reshape(len(unit), -1)
+        mixing = self.c.reshape(-1, DIMENSION)
+        wide = np.ones((len(unit), DIMENSION + 1), np.float32)
+        wide[:, :DIMENSION] = around @ mixing
+        rows, odds = [], []
+        for level in range(LEVELS):
+            size = int(self.edges[level + 1] - self.edges[level])
             node = unit // self.fan ** (LEVELS - 1 - level)
             first = node // self.fan * self.fan
-            sisters = np.minimum(first + self.fan, len(t)) - first
-            noise = first[:, None] + (rng.random((len(unit), NOISE), np.float32) * sisters[:, None]).astype(np.int64)
-            rows = np.column_stack([node, np.minimum(noise, (first + sisters - 1)[:, None])])
-            got = t[rows]
-            x = np.matmul(got, wide[:, :, None])[:, :, 0] + np.log(sisters / NOISE).astype(np.float32)[:, None]
-            g = -1 / (1 + np.exp(-np.clip(x, -30, 30)))
-            g[:, 0] += 1
-            g_hidden += np.matmul(g[:, None, :], got)[:, 0, :DIMENSION]
-            steps.append(_scatter(rows.ravel(), (g[:, :, None] * wide[:, None, :]).reshape(-1, DIMENSION + 1)))
-        g_c = np.stack([(x.T @ g_hidden).ravel() for x in rs])
-        g_r = np.concatenate([g_hidden @ c.T for c in self.c])
-        steps = [_scatter(before.T.ravel(), g_r), *steps, (np.arange(CONTEXT), g_c)]
+            sisters = np.minimum(size - first, self.fan)[:, None]
+            noise = (rng.random((len(unit), NOISE), np.float32) * sisters).astype(np.int64)
+            rows += [node[:, None], first[:, None] + np.minimum(noise, sisters - 1)]
+            odds.append(np.repeat(np.log(sisters / NOISE).astype(np.float32), 1 + NOISE, axis=1))
+            rows[-1] += self.edges[level]
+            rows[-2] = rows[-2] + self.edges[level]
+        rows = np.hstack(rows)
+        # The top level has few nodes, common to all windows: products of whole matrices.
+        high, low, top = rows[:, : 1 + NOISE], rows[:, 1 + NOISE :], self.t[: self.edges[1]]
+        every, got = np.arange(len(unit))[:, None], np.take(self.t, low, axis=0)
+        x = np.hstack([(wide @ top.T)[every, high], np.einsum("bkd,bd->bk", got, wide)]) + np.hstack(odds)
+        g = -1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        g[:, :: 1 + NOISE] += 1
+        spread = np.zeros(len(unit) * len(top), np.float32)
+        np.add.at(spread, (every * len(top) + high).ravel(), g[:, : 1 + NOISE].ravel())
+        spread = spread.reshape(len(unit), len(top))
+        g_low = np.ascontiguousarray(g[:, 1 + NOISE :])
+        g_hidden = spread @ top[:, :DIMENSION] + np.matmul(g_low[:, None, :], got)[:, 0, :DIMENSION]
+        met = np.flatnonzero(np.bincount(high.ravel(), minlength=len(top)))
+        below = _scatter(low.ravel(), np.ascontiguousarray(wide[:, :DIMENSION]), g_low.ravel())
+        g_t = np.append(met, below[0]), np.concatenate([(spread.T @ wide)[met], below[1]])
+        g_c = (around.T @ g_hidden).reshape(CONTEXT, -1)
+        g_r = (g_hidden @ mixing.T).reshape(-1, DIMENSION)
+        steps = [_scatter(before.ravel(), g_r), g_t, (np.arange(CONTEXT), g_c)]
         for k, (part, square, (rows, g)) in enumerate(zip(self.parts(), squares, steps)):
-            g = g / len(unit)
-            square[rows] += g * g
-            part[rows] += rate * g / np.sqrt(square[rows])
+            g /= len(unit)
+            total = square[rows] + np.einsum("rd,rd->r", g, g) / g.shape[1]
+            square[rows] = total
+            g *= (rate / np.sqrt(total))[:, None]
+            part[rows] = np.take(part, rows, axis=0) + g
             if seen is not None:
                 seen[k][rows] += 1
 
     def squares(self) -> list[np.ndarray]:
-        return [np.full(x.shape, 1e-6, np.float32) for x in self.parts()]
+        return [np.full(len(x), 1e-6, np.float32) for x in self.parts()]
+
+    def copied(self) -> "LogBilinear":
+        """Own numbers to learn with; words and their units stay shared."""
+        out = copy.copy(self)
+        out.r, out.t, out.c = self.r.copy(), self.t.copy(), self.c.copy()
+        return out
 
     def fit(self, cells: np.ndarray, counts: np.ndarray) -> "LogBilinear":
         """Learns from counts of pairs (cell: unit before times ``CLASSES``, plus unit); farther places hold the end."""
@@ -200,14 +240,15 @@ class LogBilinear:
 
     def hidden(self, before: np.ndarray) -> np.ndarray:
         out = np.ones((len(before), DIMENSION + 1), np.float32)
-        out[:, :DIMENSION] = sum(self.r[before[:, j]] @ c for j, c in enumerate(self.c))
+        out[:, :DIMENSION] = sum(np.take(self.r, before[:, j], axis=0) @ c for j, c in enumerate(self.c))
         return out
 
     def log_p(self, before: np.ndarray, unit: np.ndarray) -> np.ndarray:
         """log10 P(unit | units before), normalised: a softmax among sisters at each level."""
-        out, order = np.zeros(len(unit)), np.argsort(unit, kind="stable")
-        unit, wide = unit[order], self.hidden(before[order])
-        for level, t in enumerate(self.t):
+        out, order = np.zeros(len(unit)), _order(unit)
+        unit, wide = unit[order], self.hidden(np.take(before, order, axis=0))
+        for level in range(LEVELS):
+            t = self.t[self.edges[level] : self.edges[level + 1]]
             node = unit // self.fan ** (LEVELS - 1 - level)
             parent = node // self.fan
             edges = [*np.flatnonzero(np.append(True, parent[1:] != parent[:-1])).tolist(), len(unit)]
@@ -215,9 +256,13 @@ class LogBilinear:
                 for at in range(lo, hi, BLOCK):
                     to, first = min(at + BLOCK, hi), int(parent[lo]) * self.fan
                     x = wide[at:to] @ t[first : first + self.fan].T
-                    mine = x[np.arange(to - at), node[at:to] - first]
-                    top = x.max(1)
-                    out[order[at:to]] += mine - top - np.log(np.exp(x - top[:, None]).sum(1))
+                    mine, top = x[np.arange(to - at), node[at:to] - first], x.max()
+                    if top - x.min() > 60:  # one top for all lines would lose the least ones
+                        top = x.max(1, keepdims=True)
+                    x -= top
+                    np.exp(x, out=x)
+                    out[at:to] += mine - np.ravel(top) - np.log(x @ np.ones(x.shape[1], np.float32))
+        out[order] = out.copy()
         return out / np.log(10)
 
     def table(self) -> np.ndarray:
@@ -231,8 +276,8 @@ def _train(shared, rate: float):
     """Rows (part, block, blob): of each part's rows that a task changed, steps that did and change times steps."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = copy.deepcopy(shared.value)
-        start, squares = [x.copy() for x in model.parts()], model.squares()
+        start, model = shared.value.parts(), shared.value.copied()
+        squares = model.squares()
         seen = [np.zeros(len(x), np.float32) for x in start]
         rng = np.random.default_rng(17)
         for pdf in frames:
