@@ -96,10 +96,11 @@ def _count_tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _find(tokens: np.ndarray, words: np.ndarray, ids: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unit of each token, and which bucket of rare words it is in (-1: none); ``words`` sorted."""
-    at = np.minimum(np.searchsorted(words, tokens), len(words) - 1)
-    own = words[at] == tokens
-    bucket = np.where(own, -1, tokens.view(np.int64) % len(buckets))
-    return np.where(own, ids[at], buckets[bucket]), bucket
+    distinct, back = np.unique(tokens, return_inverse=True)
+    at = np.minimum(np.searchsorted(words, distinct), len(words) - 1)
+    own = words[at] == distinct
+    bucket = np.where(own, -1, distinct.view(np.int64) % len(buckets))
+    return np.where(own, ids[at], buckets[bucket])[back], bucket[back]
 
 
 def _before(units: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
@@ -247,21 +248,25 @@ class LogBilinear:
         """log10 P(unit | units before), normalised: a softmax among sisters at each level."""
         out, order = np.zeros(len(unit)), _order(unit)
         unit, wide = unit[order], self.hidden(np.take(before, order, axis=0))
+        ones, lines = np.ones(self.fan, np.float32), np.arange(BLOCK)
+        share = np.empty(len(unit), np.float32)
         for level in range(LEVELS):
             t = self.t[self.edges[level] : self.edges[level + 1]]
             node = unit // self.fan ** (LEVELS - 1 - level)
             parent = node // self.fan
             edges = [*np.flatnonzero(np.append(True, parent[1:] != parent[:-1])).tolist(), len(unit)]
+            place = node - parent * self.fan
             for lo, hi in zip(edges[:-1], edges[1:]):
+                first = int(parent[lo]) * self.fan
+                sisters = t[first : first + self.fan].T
                 for at in range(lo, hi, BLOCK):
-                    to, first = min(at + BLOCK, hi), int(parent[lo]) * self.fan
-                    x = wide[at:to] @ t[first : first + self.fan].T
-                    mine, top = x[np.arange(to - at), node[at:to] - first], x.max()
-                    if top - x.min() > 60:  # one top for all lines would lose the least ones
-                        top = x.max(1, keepdims=True)
-                    x -= top
+                    to = min(at + BLOCK, hi)
+                    x = wide[at:to] @ sisters
+                    if x.max() > 80 or x.min() < -80:  # exp would not hold it: each line's top is taken off
+                        x = np.maximum(x - x.max(1, keepdims=True), -80)
                     np.exp(x, out=x)
-                    out[at:to] += mine - np.ravel(top) - np.log(x @ np.ones(x.shape[1], np.float32))
+                    share[at:to] = x[lines[: to - at], place[at:to]] / (x @ ones[: x.shape[1]])
+            out += np.log(share)
         out[order] = out.copy()
         return out / np.log(10)
 
@@ -367,11 +372,13 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
         log_known = np.log10(known + 1.0)
         for pdf in frames:
             for lo, hi, tokens, sizes in _chunks(pdf):
-                at = np.minimum(np.searchsorted(hashes, tokens), max(len(hashes) - 1, 0))
-                inside = hashes[at] == tokens if len(hashes) else np.zeros(len(tokens), bool)
-                unit, bucket = _find(tokens, model.words, model.ids, model.buckets)
-                rare = np.where(inside, log_known[at], 0) if len(hashes) else np.zeros(len(tokens))
+                distinct, back = np.unique(tokens, return_inverse=True)
+                at = np.minimum(np.searchsorted(hashes, distinct), max(len(hashes) - 1, 0))
+                inside = hashes[at] == distinct if len(hashes) else np.zeros(len(distinct), bool)
+                rare = np.where(inside, log_known[at], 0) if len(hashes) else np.zeros(len(distinct))
                 seen = inside & (known[at] > 0) if len(hashes) else inside
+                inside, rare, seen = inside[back], rare[back], seen[back]
+                unit, bucket = _find(tokens, model.words, model.ids, model.buckets)
                 # A rare word's count may be out of the head; the join below then adds it.
                 lm = model.log_p(_before(unit, sizes, model.end), unit) + np.where(bucket >= 0, rare - log_bucket[bucket], 0)
                 first = np.cumsum(sizes) - sizes
