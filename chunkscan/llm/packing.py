@@ -133,14 +133,9 @@ class WordEncoder:
         if len(self.stems) > STEMS:
             self.stems.clear()
         split = [(t or "").split() for t in texts]
-        get = self.known.get
-        found = [list(map(get, ws)) for ws in split]
-        missing: set[str] = set()
-        for ws, ids in zip(split, found):
-            if None in ids:
-                missing.update([w for w, x in zip(ws, ids) if x is None])
-        self._learn(missing)
-        out = [b"".join([x if x is not None else get(w) for w, x in zip(ws, ids)]) if None in ids else b"".join(ids) for ws, ids in zip(split, found)]
+        self._learn(set().union(*split).difference(self.known))
+        get = self.known.__getitem__
+        out = [b"".join(map(get, ws)) for ws in split]
         odd = [i for i, t in enumerate(texts) if t and any(c in t for c in ODD_SPACE)]
         for i, ids in zip(odd, self._encode([texts[i] for i in odd])):
             out[i] = ids
