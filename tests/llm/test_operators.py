@@ -488,3 +488,14 @@ def test_fold_is_crc(spark):
     got = spark.range(50).select("id", held_out("id", 5, 0).alias("h")).collect()
     assert all(r["h"] == (H.fold(r["id"], 5) == 0) for r in got)
     assert spark.createDataFrame([(None,)], "id long").select(held_out(F.col("id"), 5, 0)).first()[0] is True
+
+
+def test_log_bilinear_of_large_scores_is_normalised():
+    model = lm_score.LogBilinear(np.array([1], np.uint64), np.array([0]), mass=np.ones(30), end=0)
+    model.t[:, :-1] *= 400
+    model.r *= 40
+    before = np.arange(3 * lm_score.CONTEXT).reshape(3, -1) % 30
+    p = np.stack([model.log_p(before, np.full(3, u)) for u in range(30)], 1)
+    wide = model.hidden(before)
+    assert np.abs(wide @ model.t.T).max() > 80 and np.isfinite(p).all()
+    assert np.allclose((10**p).sum(1), 1, atol=1e-4)
