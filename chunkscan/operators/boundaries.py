@@ -48,23 +48,30 @@ def ends_within(counts: np.ndarray, open_: int, step: int) -> tuple[list[int], i
     return places, (int(total[-1]) if len(total) else 0) - base
 
 
-def open_after(counts: np.ndarray, step: int) -> np.ndarray:
-    """For 0, 1, ... step-1 rows open before: the rows open after all keys."""
+def walks(counts: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """For 0, 1, ... step-1 rows open before: the rows open after all keys, and the number of ends among them."""
     total = np.cumsum(counts)
     size = len(total)
     if not size:
-        return np.arange(step)
+        return np.arange(step), np.zeros(step, np.int64)
     # Once a chunk ended at key j, the next end is fixed; pointers are doubled up to the last end.
     jump = np.searchsorted(total, total + step)
     last = np.where(jump < size, jump, np.arange(size))
+    hops = (jump < size).astype(np.int64)
     while True:
         further = last[last]
         if (further == last).all():
             break
-        last = further
+        hops, last = hops + hops[last], further
     first = np.searchsorted(total, step - np.arange(step))
+    some, at = first < size, np.minimum(first, size - 1)
     after = total[-1] - total[last]
-    return np.where(first < size, after[np.minimum(first, size - 1)], np.arange(step) + total[-1])
+    return np.where(some, after[at], np.arange(step) + total[-1]), np.where(some, hops[at] + 1, 0)
+
+
+def open_after(counts: np.ndarray, step: int) -> np.ndarray:
+    """The first part of ``walks``."""
+    return walks(counts, step)[0]
 
 
 def _histogram(df: DataFrame, key: str) -> DataFrame:
@@ -75,8 +82,8 @@ def _histogram(df: DataFrame, key: str) -> DataFrame:
     return cut(ordered.select(F.spark_partition_id().alias("part"), "k", "c"))
 
 
-def _starts(hist: DataFrame, step: int) -> tuple[dict[int, int], int]:
-    """Rows open at each part's start, and at the end of all."""
+def _starts(hist: DataFrame, step: int) -> tuple[dict[int, int], dict[int, int], int]:
+    """Rows open at each part's start, ends within each part, and the rows open after all."""
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, counts = [], []
@@ -86,16 +93,21 @@ def _starts(hist: DataFrame, step: int) -> tuple[dict[int, int], int]:
         if parts and sum(map(len, counts)):
             c = np.concatenate(counts)
             alone = bool((c == 1).all())
-            ends = b"" if alone else open_after(c, step).astype(np.int64).tobytes()
-            yield pa.record_batch({"part": pa.array([int(np.concatenate(parts)[0])], pa.int32()), "rows": pa.array([int(c.sum())], pa.int64()), "ends": pa.array([ends], pa.binary())})
+            after, ends = (b"", b"") if alone else (x.astype(np.int64).tobytes() for x in walks(c, step))
+            yield pa.record_batch({"part": pa.array([int(np.concatenate(parts)[0])], pa.int32()), "rows": pa.array([int(c.sum())], pa.int64()), "after": pa.array([after], pa.binary()), "ends": pa.array([ends], pa.binary())})
 
     found: dict[int, int] = {}
+    closed: dict[int, int] = {}
     open_ = 0
-    told = hist.select("part", "c").mapInArrow(tell, "part int, rows long, ends binary")
+    told = hist.select("part", "c").mapInArrow(tell, "part int, rows long, after binary, ends binary")
     for row in told.orderBy("part").toLocalIterator():  # one row a partition
         found[row["part"]] = open_
-        open_ = int(np.frombuffer(bytes(row["ends"]), np.int64)[open_]) if row["ends"] else (open_ + row["rows"]) % step
-    return found, open_
+        if row["after"]:
+            closed[row["part"]] = int(np.frombuffer(bytes(row["ends"]), np.int64)[open_])
+            open_ = int(np.frombuffer(bytes(row["after"]), np.int64)[open_])
+        else:
+            closed[row["part"]], open_ = divmod(open_ + row["rows"], step)
+    return found, closed, open_
 
 
 def _numbered(hist: DataFrame, starts: dict[int, int], step: int, ends_only: bool) -> DataFrame:
@@ -138,12 +150,10 @@ class Boundaries:
     def __init__(self, df: DataFrame, key: str, n: int, mode: str = "exact"):
         step = _step(n, mode)
         self._hist = _histogram(df, key)
-        self._open, rest = _starts(self._hist, step)
+        self._open, self._counts, rest = _starts(self._hist, step)
         self._step = step
-        found = cut(_numbered(self._hist, self._open, step, True))
-        self._counts = {r[0]: r[1] for r in found.groupBy("part").count().collect()}  # one row a partition
         self.count = sum(self._counts.values())
-        frame = _offset(found, self._counts)
+        frame = _offset(_numbered(self._hist, self._open, step, True), self._counts)
         # Exact: an end after which nothing follows is none.
         if mode == "exact" and rest == 0 and self.count:
             self.count -= 1
@@ -156,8 +166,7 @@ class Boundaries:
 
     def keys(self) -> DataFrame:
         """(k, idx): each distinct key and its chunk."""
-        shift = {p: self._counts.get(p, 0) for p in self._open}
-        every = _offset(_numbered(self._hist, self._open, self._step, False), shift)
+        every = _offset(_numbered(self._hist, self._open, self._step, False), self._counts)
         return every.select("k", F.least("idx", F.lit(self.count).cast("long")).alias("idx"))
 
 
@@ -186,17 +195,21 @@ def boundaries_unique(df: DataFrame, key: str, n: int, mode: str = "exact") -> D
 
 
 def boundaries_jdbc(relation: JdbcRelation, table: str, key: str, n: int, mode: str = "exact") -> list[Any]:
-    """The same by walking an index of a database: one short query a chunk, least and greatest key once."""
+    """The same by walking an index of a database over one connection: one short query a chunk, least and greatest key once."""
     step = _step(n, mode)
-    row = relation.retry(lambda: key_min_max(relation.df(table), key).first())
-    if row["min_key"] is None:
-        return []
-    found: list[Any] = []
-    while True:
-        end = relation.next_key(table, key, found[-1] if found else None, step - 1)
-        if end is None or mode == "exact" and not end < row["max_key"]:
-            return found
-        found.append(end)
+    try:
+        low, high = relation.min_max(table, key)
+        if low is None:
+            return []
+        found: list[Any] = []
+        while True:
+            end = relation.next_key(table, key, found[-1] if found else None, step - 1)
+            # The database compares keys; its order of strings need not be Python's.
+            if end is None or mode == "exact" and end == high:
+                return found
+            found.append(end)
+    finally:
+        relation.close()
 
 
 def longest_chunk(df: DataFrame, key: str) -> DataFrame:
@@ -223,4 +236,4 @@ def ordered(frame: DataFrame) -> DataFrame:
     return spine.join(starts, "idx", "left").join(ends, "idx", "left").select("idx", "start", "end")
 
 
-__all__ = ["Boundaries", "arithmetic_chunks", "boundaries", "boundaries_jdbc", "boundaries_unique", "ends_within", "key_min_max", "longest_chunk", "open_after", "ordered"]
+__all__ = ["Boundaries", "arithmetic_chunks", "boundaries", "boundaries_jdbc", "boundaries_unique", "ends_within", "key_min_max", "longest_chunk", "open_after", "ordered", "walks"]

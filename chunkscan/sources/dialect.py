@@ -24,10 +24,10 @@ class Dialect(ABC):
         k = self.quote_identifier(key)
         return f"SELECT MIN({k}), MAX({k}) FROM {self.quote_table(table)}"
 
-    def next_boundary_query(self, table: str, key: str, start: Any, skip: int) -> str:
-        """The key at place ``skip``, from 0, after ``start`` (None: of all rows)."""
+    def next_boundary_query(self, table: str, key: str, start: Any, skip: int, nullable: bool = False) -> str:
+        """The key at place ``skip``, from 0, after ``start`` (None: of all rows, or of those with a key if it is ``nullable``)."""
         k = self.quote_identifier(key)
-        where = "" if start is None else f" WHERE {k} > ?"
+        where = f" WHERE {k} > ?" if start is not None else f" WHERE {k} IS NOT NULL" if nullable else ""
         return f"SELECT {k} FROM {self.quote_table(table)}{where} ORDER BY {k} {self.one_row_at(skip)}"
 
     def split_scan_query(self, table: str, key: str, start: Any, end: Any, columns: str = "*", limit: int = 0, offset: int = 0) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
 import time
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Mapping
@@ -93,6 +95,7 @@ class JdbcRelation(Relation):
     def __init__(self, spark: SparkSession, options: ScanOptions):
         self.spark, self.options, self.database = spark, options, options.database
         self.dialect: Dialect = dialect_named(options.dialect)
+        self._connection: Any = None
 
     def retry(self, work: Callable[[], T]) -> T:
         """Runs driver-side database work, again up to ``max_retries`` times if it fails."""
@@ -105,16 +108,18 @@ class JdbcRelation(Relation):
                 time.sleep(0.2)
         raise AssertionError
 
-    def _metadata(self, read: Callable[[Any], T]) -> T:
+    def _connect(self) -> Any:
         jvm = self.spark.sparkContext._jvm
         jvm.org.apache.spark.util.Utils.classForName(self.options.driver_class, True, True)
         props = jvm.java.util.Properties()
         for name, value in (("user", self.options.username), ("password", self.options.password)):
             if value is not None:
                 props.setProperty(name, value)
+        return jvm.java.sql.DriverManager.getConnection(self.options.url, props)
 
+    def _metadata(self, read: Callable[[Any], T]) -> T:
         def work() -> T:
-            connection = jvm.java.sql.DriverManager.getConnection(self.options.url, props)
+            connection = self._connect()
             try:
                 return read(connection.getMetaData())
             finally:
@@ -122,6 +127,44 @@ class JdbcRelation(Relation):
 
         return self.retry(work)
 
+    def ask(self, sql: str, *values: Any) -> tuple[Any, ...] | None:
+        """The first row of a statement whose ``?`` are bound to ``values``. The connection stays open for the next, until ``close``."""
+
+        def work() -> tuple[Any, ...] | None:
+            if self._connection is None:
+                self._connection = self._connect()
+            try:
+                statement = self._connection.prepareStatement(sql)
+                statement.setMaxRows(1)
+                for place, value in enumerate(values, 1):
+                    statement.setObject(place, self._bound(value))
+                rows = statement.executeQuery()
+                width = rows.getMetaData().getColumnCount()
+                found = tuple(_plain(rows.getObject(c)) for c in range(1, width + 1)) if rows.next() else None
+                statement.close()
+                return found
+            except Exception:
+                self.close()
+                raise
+
+        return self.retry(work)
+
+    def close(self) -> None:
+        if self._connection is not None:
+            connection, self._connection = self._connection, None
+            connection.close()
+
+    def _bound(self, value: Any) -> Any:
+        """``value`` as the gateway can hand it to a driver."""
+        sql = self.spark.sparkContext._jvm.java.sql
+        if isinstance(value, dt.datetime):
+            return sql.Timestamp.valueOf(value.isoformat(" "))
+        if isinstance(value, dt.date):
+            return sql.Date.valueOf(value.isoformat())
+        if isinstance(value, int) and not -(1 << 63) <= value < 1 << 63:
+            return decimal.Decimal(value)
+        return value
+
     def _array(self, *values: str) -> Any:
         out = self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.java.lang.String, len(values))
         for k, v in enumerate(values):
@@ -167,18 +210,31 @@ class JdbcRelation(Relation):
     def df(self, table: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.options.connection()).option("dbtable", self.full_name(table)).load()
 
-    def query(self, sql: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.options.connection()).option("query", sql).load()
-
     def chunks(self, table: str, predicates: list[str]) -> DataFrame:
         """One partition a predicate."""
         named = self.options.connection()
         return self.spark.read.jdbc(named.pop("url"), self.full_name(table), predicates=predicates, properties=named)
 
+    def min_max(self, table: str, key: str) -> tuple[Any, Any]:
+        found = self.ask(self.dialect.min_max_query(f"{self.database}.{table}", key))
+        return found if found is not None else (None, None)
+
     def next_key(self, table: str, key: str, start: Any, skip: int) -> Any:
         """The key at place ``skip`` after ``start``, or None. NULL keys do not count."""
-        k = self.dialect.quote_identifier(key)
-        where = f"{k} IS NOT NULL" + ("" if start is None else f" AND {k} > {self.dialect.literal(start)}")
-        sql = f"SELECT {k} FROM {self.full_name(table)} WHERE {where} ORDER BY {k} {self.dialect.one_row_at(skip)}"
-        rows = self.retry(lambda: self.query(sql).select(F.col(f"`{key}`")).collect())  # one row at most
-        return rows[0][0] if rows else None
+        sql = self.dialect.next_boundary_query(f"{self.database}.{table}", key, start, skip, nullable=True)
+        found = self.ask(sql) if start is None else self.ask(sql, start)
+        return None if found is None else found[0]
+
+
+def _plain(value: Any) -> Any:
+    """A driver's value as a Python one; numbers and strings already are."""
+    if not hasattr(value, "getClass"):
+        return bytes(value) if isinstance(value, bytearray) else value
+    kind, text = value.getClass().getName(), value.toString()
+    if kind == "java.math.BigInteger":
+        return int(text)
+    if kind in ("java.sql.Date", "java.time.LocalDate"):
+        return dt.date.fromisoformat(text)
+    if kind in ("java.sql.Timestamp", "java.time.LocalDateTime"):
+        return dt.datetime.fromisoformat(text)
+    raise TypeError(f"a key cannot be of type {kind}")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from chunkscan.operators.boundaries import boundaries, boundaries_unique, open_after
+from chunkscan.operators.boundaries import boundaries, boundaries_unique, open_after, walks
 from chunkscan.operators.splits import assign_split, split_frame, splits_of
 
 
@@ -78,15 +78,18 @@ def test_random_keys(spark, seed):
 def test_open_after_matches_walk():
     rng = np.random.default_rng(5)
     for _ in range(50):
-        counts, step = rng.integers(1, 6, rng.integers(1, 40)), int(rng.integers(1, 12))
-        want = []
+        counts, step = rng.integers(1, 6, rng.integers(0, 40)), int(rng.integers(1, 12))
+        want, ends = [], []
         for open_ in range(step):
+            ended = 0
             for c in counts:
                 open_ += int(c)
                 if open_ >= step:
-                    open_ = 0
+                    open_, ended = 0, ended + 1
             want.append(open_)
+            ends.append(ended)
         assert open_after(counts, step).tolist() == want
+        assert walks(counts, step)[1].tolist() == ends
 
 
 def test_many_chunks_join_by_key(spark):
