@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,23 +10,44 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from chunkscan.functions.schema import typed_projection
-from chunkscan.operators.boundaries import boundaries_jdbc
-from chunkscan.operators.splits import Split, assign_split, splits_of
+from chunkscan.operators.boundaries import Boundaries, boundaries_jdbc
+from chunkscan.operators.splits import Split, assign_split, merged, splits_of
+from chunkscan.plans.manifest import Manifest
 from chunkscan.plans.pruning import prune
 from chunkscan.sources.discovery import TableInfo, discover_tables
 from chunkscan.sources.options import ScanOptions
 from chunkscan.sources.relations import JdbcRelation, ParquetRelation, Relation
 
 
-def plan_splits(relation: JdbcRelation, table: TableInfo, options: ScanOptions) -> list[Split]:
-    """A database table's splits, found by walking its key."""
-    ends = boundaries_jdbc(relation, table.table, table.split_key, options.chunk_size, options.boundary_mode)
+#: Tasks of one database scan; of more splits, neighbours share a query.
+TASKS = 10_000
+
+
+def plan_splits(relation: Relation, table: TableInfo, options: ScanOptions) -> list[Split]:
+    """A table's splits: a database's key is walked, other keys are counted on the cluster."""
+    if isinstance(relation, JdbcRelation):
+        ends = boundaries_jdbc(relation, table.table, table.split_key, options.chunk_size, options.boundary_mode)
+    else:
+        ends = Boundaries(relation.df(table.table), table.split_key, options.chunk_size, options.boundary_mode).values()
     return splits_of(table.full_name, table.split_key, ends)
 
 
-def scan_splits(relation: JdbcRelation, table: TableInfo, splits: list[Split]) -> DataFrame:
-    """One partition a split; filters and columns are still pushed to the database."""
-    return relation.chunks(table.table, [s.predicate(relation.dialect) for s in splits])
+def scan_splits(relation: Relation, table: TableInfo, splits: list[Split], tasks: int = TASKS) -> DataFrame:
+    """The rows of ``splits``, each once; of a partly read one those after its offset.
+
+    A database gets one query a split, or for groups of neighbours if there are more splits than
+    ``tasks``; filters and columns are still pushed to it. Files are read by one scan over the key
+    ranges that neighbouring splits make up.
+    """
+    whole, begun = [s for s in splits if not s.offset], [s for s in splits if s.offset]
+    if isinstance(relation, JdbcRelation):
+        size = -(-len(whole) // tasks)
+        ranges = whole if size < 2 else [m for k in range(0, len(whole), size) for m in merged(whole[k : k + size])]
+        rows = relation.chunks(table.table, [s.predicate(relation.dialect) for s in ranges] or ["1 = 0"])
+    else:
+        rows = relation.df(table.table)
+        rows = rows.where(reduce(lambda a, b: a | b, [s.condition() for s in merged(whole)], F.lit(False)))
+    return reduce(DataFrame.union, [s.read(relation.df(table.table)) for s in begun], rows)
 
 
 def scan_table(relation: Relation, table: TableInfo, options: ScanOptions, chunk_column: str | None = None, low: object = None, high: object = None) -> DataFrame:
@@ -66,14 +88,63 @@ class ChunkedScan:
     def tables(self, spark) -> list[TableInfo]:
         return discover_tables(self._relation(spark), self.options)
 
+    def _shaped(self, df: DataFrame, source: str | None, table: TableInfo, chunk: str | None = None) -> DataFrame:
+        if self.schema is not None:
+            if not chunk:
+                df = typed_projection(df, self.schema)
+            else:
+                width = len(self.schema.fields)
+                if width > len(df.columns) - 1:
+                    raise ValueError(f"{width} columns are declared, {table.full_name} has {len(df.columns) - 1}")
+                df = typed_projection(df, StructType([*self.schema.fields, df.schema[chunk]]), [*range(width), len(df.columns) - 1])
+        return df.withColumn(source, F.lit(table.full_name)) if source else df
+
     def load(self, spark, source_column: str | None = None, chunk_column: str | None = None) -> DataFrame:
         """Rows of all tables; columns by position and, if a schema is declared, of its types."""
-        relation, parts = self._relation(spark), []
-        for table in self.tables(spark):
-            df = scan_table(relation, table, self.options, chunk_column)
-            if self.schema is not None:
-                rows = df.drop(chunk_column) if chunk_column else df
-                typed = typed_projection(rows, self.schema)
-                df = typed if not chunk_column else typed_projection(df, StructType([*self.schema.fields, df.schema[chunk_column]]), [*range(len(self.schema.fields)), len(df.columns) - 1])
-            parts.append(df.withColumn(source_column, F.lit(table.full_name)) if source_column else df)
-        return reduce(DataFrame.union, parts)
+        relation = self._relation(spark)
+        return reduce(DataFrame.union, [self._shaped(scan_table(relation, t, self.options, chunk_column), source_column, t, chunk_column) for t in self.tables(spark)])
+
+    def manifest(self, spark) -> Manifest:
+        """All splits of all tables, still to read."""
+        relation = self._relation(spark)
+        return Manifest([s for t in self.tables(spark) for s in plan_splits(relation, t, self.options)], complete=True)
+
+    def _rows(self, spark, splits: list[Split], source_column: str | None) -> DataFrame:
+        relation, tables = self._relation(spark), self.tables(spark)
+        strange = {s.table for s in splits} - {t.full_name for t in tables}
+        if strange:
+            raise ValueError(f"the manifest names other tables: {', '.join(sorted(strange))}")
+        return reduce(DataFrame.union, [self._shaped(scan_splits(relation, t, [s for s in splits if s.table == t.full_name]), source_column, t) for t in tables])
+
+    def resume(self, spark, manifest: Manifest, source_column: str | None = None) -> DataFrame:
+        """Rows that a manifest has still to read, taken splits included; one of tables not wholly cut starts over."""
+        if not manifest.complete:
+            return self.load(spark, source_column)
+        return self._rows(spark, [*manifest.taken.values(), *manifest.pending], source_column)
+
+    def drain(self, spark, manifest: Manifest, sink: Callable[[DataFrame], None], at_once: int = 1024, save: Callable[[str], None] | None = None, source_column: str | None = None) -> None:
+        """Hands pending splits to ``sink``, ``at_once`` in one DataFrame, until none is left.
+
+        A group that ``sink`` took is finished; one that failed goes back to the front and its error
+        goes up. ``save`` gets the state after each, as text that ``Manifest.loads`` reads. The state
+        is saved after the rows are: who stops between the two gets that group again.
+        """
+        if at_once < 1:
+            raise ValueError("at_once must be at least 1")
+        if not manifest.complete:
+            fresh = self.manifest(spark)
+            manifest.pending, manifest.taken, manifest.complete = fresh.pending, {}, True
+        manifest.give_back(list(manifest.taken))
+        while manifest.pending:
+            group = [manifest.take() for _ in range(min(at_once, len(manifest.pending)))]
+            try:
+                sink(self._rows(spark, group, source_column))
+            except BaseException:
+                manifest.give_back([s.split_id for s in group])
+                if save:
+                    save(manifest.dumps())
+                raise
+            for s in group:
+                manifest.finish(s.split_id)
+            if save:
+                save(manifest.dumps())

@@ -68,6 +68,19 @@ def splits_of(table: str, key: str, ends: list[Any]) -> list[Split]:
     return [Split(f"{table}#{k}", table, key, a, b) for k, (a, b) in enumerate(zip([None, *ends], [*ends, None]))]
 
 
+def merged(splits: list[Split]) -> list[Split]:
+    """The same rows in as few splits as can be: neighbours become one. Offsets are not allowed."""
+    out: list[Split] = []
+    for s in sorted(splits, key=lambda s: int(s.split_id.rpartition("#")[2])):
+        if s.offset:
+            raise ValueError("a split that is partly read does not merge")
+        if out and out[-1].has_end and s.has_start and out[-1].end == s.start:
+            out[-1] = replace(out[-1], end=s.end)
+        else:
+            out.append(s)
+    return out
+
+
 def split_frame(df: DataFrame, table: str, key: str, n: int, mode: str = "exact", bounds: Boundaries | None = None) -> DataFrame:
     """(split_id, idx, table_name, split_key, split_start, split_end, split_offset)."""
     bounds = bounds or Boundaries(df, key, n, mode)

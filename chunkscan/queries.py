@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +18,7 @@ from chunkscan.operators.splits import Split, assign_split, split_frame, split_r
 from chunkscan.plans.manifest import Manifest
 from chunkscan.plans.pruning import prune
 from chunkscan.sources import discovery
-from chunkscan.sources.datasource import register
+from chunkscan.sources.datasource import register, sql
 from chunkscan.sources.options import ScanOptions
 from chunkscan.sources.relations import FrameRelation, JdbcRelation, ParquetRelation
 
@@ -60,20 +59,6 @@ def frame(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return relation(spark, sf_dir).df(table)
 
 
-# Scans
-
-
-def _scan(table: str, spark: SparkSession, sf_dir: str, chunk: int = CHUNK) -> DataFrame:
-    rel = relation(spark, sf_dir)
-    (info,) = discovery.discover_tables(rel, options(table_list=(table,), chunk_size=chunk))
-    # Only rows with a chunk come out: a row that no chunk takes would be missing.
-    return scan_table(rel, info, options(table_list=(table,), chunk_size=chunk), "_chunk").where("_chunk >= 0").drop("_chunk")
-
-
-for _table in KEYS:
-    query(f"chunked_scan_{_table}", f"SELECT * FROM {_table}")(partial(_scan, _table))
-query("chunked_scan_default_sizes", "SELECT * FROM orders")(partial(_scan, "orders", chunk=8096))
-
 # Boundaries
 
 
@@ -100,6 +85,25 @@ WITH RECURSIVE cum AS (SELECT k, CAST(sum(c) OVER (ORDER BY k) AS BIGINT) AS cum
 {select}"""
 
 
+# Scans
+
+
+def _scan(table: str, spark: SparkSession, sf_dir: str, chunk: int = CHUNK) -> DataFrame:
+    opts = options(table_list=(table,), chunk_size=chunk)
+    return ChunkedScan(opts, relation(spark, sf_dir)).load(spark, chunk_column="chunk")
+
+
+def scan_sql(table: str, chunk: int = CHUNK) -> str:
+    """Each row of a table and the chunk that its key is in."""
+    key = KEYS[table][0]
+    return walk_sql(table, key, chunk, "exact", f"SELECT t.*, CAST(idx AS BIGINT) AS chunk FROM {table} t JOIN chunks ON (lo IS NULL OR {key} > lo) AND (hi IS NULL OR {key} <= hi)")
+
+
+for _table in KEYS:
+    query(f"chunked_scan_{_table}", scan_sql(_table))(partial(_scan, _table))
+query("chunked_scan_default_sizes", scan_sql("orders", 8096))(partial(_scan, "orders", chunk=8096))
+
+
 def _bounds(table: str, key: str, mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return boundaries(frame(spark, sf_dir, table), key, CHUNK, mode)
 
@@ -197,21 +201,19 @@ _NULLED = "SELECT o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_order
 @query("null_key_scan", _NULLED)
 def _null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = frame(spark, sf_dir, "orders").selectExpr("o_custkey", "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS k")
-    ends = [r["boundary"] for r in boundaries(df, "k", 4096).orderBy("idx").collect()]
-    parts = [s.read(df) for s in splits_of("sf.orders", "k", ends)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    scan = ChunkedScan(options(split_key_column="k", chunk_size=4096), FrameRelation(spark, DATABASE, {"orders": df}))
+    return scan.resume(spark, scan.manifest(spark))
 
 
 # Discovery
 
 
-@query("discover_list", "SELECT * FROM (VALUES (0, 'sf.orders'), (1, 'other.events'), (2, 'sf.nation')) t(place, full_name)")
+@query("discover_list", "SELECT 0 AS place, 'sf.orders' AS full_name, count(*) AS n_rows FROM orders UNION ALL SELECT 1, 'sf.events', count(*) FROM events UNION ALL SELECT 2, 'sf.nation', count(*) FROM nation")
 def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = discovery.listed(options(table_list=(" orders, other.events ", "", "nation")))
-    return spark.createDataFrame(list(enumerate(names)), "place int, full_name string")
+    rel = relation(spark, sf_dir)
+    found = discovery.discover_tables(rel, options(table_list=(" orders, sf.events ", "", "nation")))
+    counts = [rel.df(t.table).agg(F.lit(k).alias("place"), F.lit(t.full_name).alias("full_name"), F.count(F.lit(1)).alias("n_rows")) for k, t in enumerate(found)]
+    return reduce(DataFrame.union, counts)
 
 
 def _matching(pattern: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,21 +293,44 @@ def _format(spark: SparkSession, sf_dir: str) -> DataFrame:
 # SQL
 
 
-def _view(spark: SparkSession, sf_dir: str) -> str:
-    register(spark)
+def _ddl(sf_dir: str) -> tuple[str, str]:
     name = f"orders_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE TEMPORARY VIEW {name} USING chunkscan OPTIONS ('url' '{sf_dir}', 'database' 'sf', 'table-list' 'orders', 'chunk-size' '{CHUNK}', 'split-key-column' 'o_orderkey')")
+    return name, f"CREATE TEMPORARY VIEW {name} USING chunkscan OPTIONS ('url' '{sf_dir}', 'database' 'sf', 'table-list' 'orders', 'chunk-size' '{CHUNK}', 'split-key-column' 'o_orderkey')"
+
+
+def _view(spark: SparkSession, sf_dir: str) -> str:
+    name, ddl = _ddl(sf_dir)
+    sql(spark, ddl)
     return name
 
 
+_GROUPED = "SELECT o_orderstatus, count(*) AS n, min(o_orderkey) AS least FROM {} WHERE o_orderkey > 5000 GROUP BY 1"
+
+
+@query("sql_python_source", _GROUPED.format("orders"))
+def _python_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same statement given to Spark itself: chunks are read by Python workers."""
+    register(spark)
+    name, ddl = _ddl(sf_dir)
+    spark.sql(ddl)
+    return spark.sql(_GROUPED.format(name))
+
+
 @query("sql_view_count", "SELECT count(*) AS n FROM orders")
 def _view_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT count(*) AS n FROM {_view(spark, sf_dir)}")
 
 
-@query("sql_view_group_by", "SELECT o_orderstatus, count(*) AS n, min(o_orderkey) AS least FROM orders WHERE o_orderkey > 5000 GROUP BY 1")
+@query("sql_view_group_by", _GROUPED.format("orders"))
 def _view_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(f"SELECT o_orderstatus, count(*) AS n, min(o_orderkey) AS least FROM {_view(spark, sf_dir)} WHERE o_orderkey > 5000 GROUP BY 1")
+    return spark.sql(_GROUPED.format(_view(spark, sf_dir)))
+
+
+@query("sql_view_typed", "SELECT CAST(o_orderkey AS INT) AS k, CAST(o_custkey AS VARCHAR) AS customer FROM orders")
+def _view_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, ddl = _ddl(sf_dir)
+    sql(spark, ddl.replace(" USING", " (k int, customer string) USING"))
+    return spark.table(name)
 
 
 @query("pushdown_filter_project", "SELECT o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_orderkey BETWEEN 1000 AND 3000")
@@ -341,26 +366,88 @@ def _skew(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(*rows, *widths)], "chunks long, largest_by_rows long, largest_by_width long, empty_by_width long")
 
 
-@query("resume_manifest", "SELECT * FROM (VALUES ('sf.orders#1', '1000', '2000', 512), ('sf.orders#0', NULL, '1000', 0), ('sf.orders#2', '2000', NULL, 0)) t(split_id, split_start, split_end, split_offset)")
+@query(
+    "resume_manifest",
+    walk_sql("orders", "o_orderkey", 256, "exact", "SELECT o_orderkey, o_custkey FROM (SELECT o.*, idx, row_number() OVER (PARTITION BY idx ORDER BY o_orderkey) AS r FROM orders o JOIN chunks ON (lo IS NULL OR o_orderkey > lo) AND (hi IS NULL OR o_orderkey <= hi)) WHERE idx <> 1 AND (idx <> 2 OR r > 100)"),
+)
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = Manifest(splits_of("sf.orders", "o_orderkey", [1000, 2000]), complete=True)
-    first = state.take()
-    second = state.take()
-    state.progress(second.split_id, 512)
-    state.give_back([first.split_id])
-    again = json.loads(Manifest.loads(state.dumps()).dumps())["pending"]
-    rows = [(s["id"], None if s["start"] is None else str(s["start"]), None if s["end"] is None else str(s["end"]), s["offset"]) for s in again]
-    return spark.createDataFrame(rows, "split_id string, split_start string, split_end string, split_offset int")
+    """A scan that stopped: one split is done, one is read to its hundredth row, one failed, the others were not begun."""
+    scan = ChunkedScan(options(chunk_size=256), relation(spark, sf_dir))
+    state = scan.manifest(spark)
+    failed, done, begun = state.take(), state.take(), state.take()
+    state.finish(done.split_id)
+    state.progress(begun.split_id, 100)
+    state.give_back([failed.split_id])
+    return scan.resume(spark, Manifest.loads(state.dumps())).select("o_orderkey", "o_custkey")
+
+
+# Databases
+
+
+def _database(spark: SparkSession, df: DataFrame, table: str, key: str, kinds: str) -> str:
+    """URL of a new embedded database that holds ``df`` as a table with a primary key."""
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex}"
+    driver = "org.apache.derby.jdbc.EmbeddedDriver"
+    df.coalesce(1).write.format("jdbc").options(url=f"{url};create=true", driver=driver, dbtable=table, createTableColumnTypes=kinds).save()
+    connection = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url)
+    for change in (f'ALTER COLUMN "{key}" NOT NULL', f'ADD PRIMARY KEY ("{key}")'):
+        connection.createStatement().execute(f"ALTER TABLE {table} {change}")
+    connection.close()
+    return url
+
+
+_ORDERS = "o_orderkey BIGINT, o_orderstatus VARCHAR(8), o_orderpriority VARCHAR(32)"
 
 
 @query("jdbc_roundtrip_orders", "SELECT * FROM orders")
 def _derby(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders into an embedded database, found by its key there, cut, read by one query a chunk."""
-    url = f"jdbc:derby:memory:t{uuid.uuid4().hex}"
-    df = frame(spark, sf_dir, "orders")
-    kinds = "o_orderkey BIGINT NOT NULL, o_orderstatus VARCHAR(8), o_orderpriority VARCHAR(32)"
-    df.coalesce(1).write.format("jdbc").options(url=f"{url};create=true", driver="org.apache.derby.jdbc.EmbeddedDriver", dbtable="orders", createTableColumnTypes=kinds.replace(" NOT NULL", "")).save()
-    opts = ScanOptions(url=url, database="APP", table_list=("ORDERS",), dialect="derby", split_key_column="o_orderkey", chunk_size=4096)
+    url = _database(spark, frame(spark, sf_dir, "orders"), "ORDERS", "o_orderkey", _ORDERS)
+    opts = ScanOptions(url=url, database="APP", table_list=("ORDERS",), dialect="derby", chunk_size=4096)
     rel = JdbcRelation(spark, opts)
     (info,) = discovery.discover_tables(rel, opts)
     return scan_splits(rel, info, plan_splits(rel, info, opts))
+
+
+@query("sql_view_database", _GROUPED.format("orders"))
+def _derby_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = _database(spark, frame(spark, sf_dir, "orders"), "ORDERS", "o_orderkey", _ORDERS)
+    name = f"orders_{uuid.uuid4().hex}"
+    sql(spark, f"CREATE TEMPORARY VIEW {name} USING chunkscan OPTIONS ('url' '{url}', 'database' 'APP', 'table-pattern' 'APP\\.ORD.*', 'dialect' 'derby', 'chunk-size' '4096')")
+    return spark.sql(_GROUPED.format(name))
+
+
+#: Column, expression on orders, its key ``id`` and a number ``n`` (both engines read it), type in the database (all but CHAR and
+#: VARCHAR are those that the writer picks), declared type.
+_WIDE = [
+    ("id", "id", "BIGINT", "bigint"),
+    ("tiny", "CAST(n AS TINYINT)", "SMALLINT", "tinyint"),
+    ("small", "CAST(n * 100 AS SMALLINT)", "SMALLINT", "smallint"),
+    ("whole", "CAST(o_custkey AS INT)", "INTEGER", "int"),
+    ("big", "id * 1000003", "BIGINT", "bigint"),
+    ("unsigned_big", "CAST(CAST(18446744073709551615 AS DECIMAL(20,0)) - CAST(id AS DECIMAL(19,0)) AS DECIMAL(20,0))", "DECIMAL(20,0)", "decimal(20,0)"),
+    ("price", "CAST(o_totalprice AS DECIMAL(12,2))", "DECIMAL(12,2)", "decimal(12,2)"),
+    ("ratio", "CAST(n / 4.0 AS FLOAT)", "REAL", "float"),
+    ("share", "CAST(o_totalprice AS DOUBLE)", "DOUBLE", "double"),
+    ("flag", "n = 1", "BOOLEAN", "boolean"),
+    ("bits", "CAST(n % 2 AS SMALLINT)", "SMALLINT", "boolean"),
+    ("code", "o_orderstatus", "CHAR(1)", "string"),
+    ("name", "concat('line ', CAST(n AS STRING), ' it''s')", "VARCHAR(64)", "string"),
+    ("note", "concat(o_orderstatus, '|', o_orderpriority)", "CLOB", "string"),
+    ("doc", "concat('{\"n\":', CAST(n AS STRING), '}')", "CLOB", "string"),
+    ("day", "CAST(o_orderdate AS DATE)", "DATE", "date"),
+    ("at", "o_orderdate + INTERVAL 1 MINUTE", "TIMESTAMP", "timestamp_ntz"),
+    ("nothing", "CAST(NULL AS INT)", "INTEGER", "int"),
+    ("some", "CASE WHEN n = 2 THEN NULL ELSE o_orderpriority END", "CLOB", "string"),
+    ("status", "o_orderpriority", "VARCHAR(32)", "string"),
+]
+_WIDE_FROM = ["*", "CAST(o_orderkey AS BIGINT) AS id", "CAST(o_custkey % 7 AS INT) AS n"]
+
+
+@query("jdbc_wide_types", f"SELECT {', '.join(('(' + e + ') <> 0' if n == 'bits' else e) + ' AS ' + n for n, e, _, _ in _WIDE)} FROM (SELECT {', '.join(_WIDE_FROM)} FROM orders)")
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A database table of twenty columns, read by declared types and cut by its key."""
+    df = frame(spark, sf_dir, "orders").selectExpr(*_WIDE_FROM).selectExpr(*[f"{e} AS {n}" for n, e, _, _ in _WIDE])
+    url = _database(spark, df, "WIDE", "id", ", ".join(f"{n} {t}" for n, _, t, _ in _WIDE if "CHAR" in t))
+    opts = ScanOptions(url=url, database="APP", table_list=("WIDE",), dialect="derby", chunk_size=500)
+    return ChunkedScan(opts, schema=T._parse_datatype_string(", ".join(f"{n} {t}" for n, _, _, t in _WIDE))).load(spark)

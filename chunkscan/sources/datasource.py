@@ -1,12 +1,18 @@
 """SQL: ``CREATE TEMPORARY VIEW v USING chunkscan OPTIONS ('url' '/tables', 'database' 'db', 'table-list' 't', 'chunk-size' '8096')``.
 
-The source reads Parquet files that the Python workers can open, one task a chunk; filters on the
-key leave out chunks, and all filters and declared columns reach the Parquet reader. For databases
-and other stores, ``create_view`` puts a scan by Spark's own readers under a view's name.
+``sql(spark, statement)`` puts a scan by Spark's own readers under the view's name: databases and all
+stores that Spark reads, with columns and filters pushed down. It is the way for large tables.
+
+After ``register(spark)``, plain ``spark.sql`` takes the statement too. That source runs in Python
+workers: it reads Parquet files that they can open, one task a chunk; filters on the key leave out
+chunks, and filters and declared columns reach the Parquet reader. Spark does not tell such a source
+which columns a query needs, so all declared ones are read, and each table's key is counted in one
+process.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -15,7 +21,7 @@ from typing import Any
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, IsNotNull, LessThan, LessThanOrEqual
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import StructType
@@ -144,4 +150,21 @@ def create_view(spark: SparkSession, name: str, options: dict[str, str], schema:
     ChunkedScan(ScanOptions.from_ddl(options), schema=schema).load(spark).createOrReplaceTempView(name)
 
 
-__all__ = ["NAME", "ChunkSource", "create_view", "register"]
+def sql(spark: SparkSession, statement: str) -> DataFrame:
+    """``spark.sql``, but a temporary view ``USING chunkscan`` is a scan by Spark's own readers. Declared columns type it by position."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+    if plan.nodeName() != "CreateTempViewUsing" or plan.provider().lower() != NAME:
+        return spark.sql(statement)
+    given = spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(plan.options())
+    declared = plan.userSpecifiedSchema()
+    schema = StructType.fromJson(json.loads(declared.get().json())) if declared.isDefined() else None
+    df = ChunkedScan(ScanOptions.from_ddl({k.lower(): v for k, v in dict(given).items()}), schema=schema).load(spark)
+    name = plan.tableIdent().table()
+    if getattr(plan, "global")():
+        (df.createOrReplaceGlobalTempView if plan.replace() else df.createGlobalTempView)(name)
+    else:
+        (df.createOrReplaceTempView if plan.replace() else df.createTempView)(name)
+    return spark.createDataFrame([], StructType([]))
+
+
+__all__ = ["NAME", "ChunkSource", "create_view", "register", "sql"]

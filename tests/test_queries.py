@@ -1,5 +1,6 @@
 """Every registered query of the layer against its SQL, on the smallest tables."""
 
+import os
 from pathlib import Path
 
 import duckdb
@@ -7,7 +8,7 @@ import pytest
 
 from chunkscan.queries import KEYS, ORACLES, QUERIES
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="no tables here")
 
 
