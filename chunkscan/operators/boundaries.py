@@ -22,6 +22,10 @@ from chunkscan.scratch import cut
 from chunkscan.sources.relations import JdbcRelation
 
 
+#: Bytes of partitions' summaries that the driver takes at once.
+GATHERED = 64 << 20
+
+
 def key_min_max(df: DataFrame, key: str) -> DataFrame:
     """One row: min_key, max_key over non-NULL keys."""
     return df.agg(F.min(key).alias("min_key"), F.max(key).alias("max_key"))
@@ -79,7 +83,7 @@ def _histogram(df: DataFrame, key: str) -> DataFrame:
     slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hist = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("c"))
     ordered = hist.repartitionByRange(slots, "k").sortWithinPartitions("k")
-    return cut(ordered.select(F.spark_partition_id().alias("part"), "k", "c"))
+    return cut(ordered.select(F.spark_partition_id().alias("part"), "k", "c"), eager=False)
 
 
 def _starts(hist: DataFrame, step: int) -> tuple[dict[int, int], dict[int, int], int]:
@@ -100,7 +104,9 @@ def _starts(hist: DataFrame, step: int) -> tuple[dict[int, int], dict[int, int],
     closed: dict[int, int] = {}
     open_ = 0
     told = hist.select("part", "c").mapInArrow(tell, "part int, rows long, after binary, ends binary")
-    for row in told.orderBy("part").toLocalIterator():  # one row a partition
+    # One row a partition, of 16 bytes a row of a chunk at most: gathered at once if that is little, else one after the other.
+    little = hist.rdd.getNumPartitions() * step * 16 <= GATHERED
+    for row in sorted(told.collect(), key=lambda r: r["part"]) if little else told.orderBy("part").toLocalIterator():
         found[row["part"]] = open_
         if row["after"]:
             closed[row["part"]] = int(np.frombuffer(bytes(row["ends"]), np.int64)[open_])
@@ -162,7 +168,7 @@ class Boundaries:
 
     def values(self) -> list[Any]:
         """All ends in order; as many as chunks, for those who plan one task a chunk."""
-        return [r["k"] for r in self.frame.orderBy("idx").collect()]
+        return [r["k"] for r in sorted(self.frame.collect(), key=lambda r: r["idx"])]
 
     def keys(self) -> DataFrame:
         """(k, idx): each distinct key and its chunk."""

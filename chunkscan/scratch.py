@@ -20,7 +20,7 @@ def prepare(spark: SparkSession) -> None:
         sc.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` from a checkpoint; its partitions stay as they are."""
+def cut(df: DataFrame, eager: bool = True) -> DataFrame:
+    """``df`` from a checkpoint, written now or, if not ``eager``, by the first job that reads it; its partitions stay as they are."""
     prepare(df.sparkSession)
-    return df.checkpoint()
+    return df.checkpoint(eager)
