@@ -19,6 +19,7 @@ from chunkscan.plans.manifest import Manifest
 from chunkscan.plans.pruning import prune
 from chunkscan.sources import discovery
 from chunkscan.sources.datasource import register, sql
+from chunkscan.sources.embedded import database
 from chunkscan.sources.options import ScanOptions
 from chunkscan.sources.relations import FrameRelation, JdbcRelation, ParquetRelation
 
@@ -402,7 +403,7 @@ _ORDERS = "o_orderkey BIGINT, o_orderstatus VARCHAR(8), o_orderpriority VARCHAR(
 @query("jdbc_roundtrip_orders", "SELECT * FROM orders")
 def _derby(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders into an embedded database, found by its key there, cut, read by one query a chunk."""
-    url = _database(spark, frame(spark, sf_dir, "orders"), "ORDERS", "o_orderkey", _ORDERS)
+    url = database(frame(spark, sf_dir, "orders"), "ORDERS", "o_orderkey", _ORDERS)
     opts = ScanOptions(url=url, database="APP", table_list=("ORDERS",), dialect="derby", chunk_size=4096)
     rel = JdbcRelation(spark, opts)
     (info,) = discovery.discover_tables(rel, opts)
