@@ -449,6 +449,6 @@ _WIDE_FROM = ["*", "CAST(o_orderkey AS BIGINT) AS id", "CAST(o_custkey % 7 AS IN
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A database table of twenty columns, read by declared types and cut by its key."""
     df = frame(spark, sf_dir, "orders").selectExpr(*_WIDE_FROM).selectExpr(*[f"{e} AS {n}" for n, e, _, _ in _WIDE])
-    url = _database(spark, df, "WIDE", "id", ", ".join(f"{n} {t}" for n, _, t, _ in _WIDE if "CHAR" in t))
+    url = database(df, "WIDE", "id", ", ".join(f"{n} {t}" for n, _, t, _ in _WIDE if "CHAR" in t))
     opts = ScanOptions(url=url, database="APP", table_list=("WIDE",), dialect="derby", chunk_size=500)
     return ChunkedScan(opts, schema=T._parse_datatype_string(", ".join(f"{n} {t}" for n, _, _, t in _WIDE))).load(spark)
