@@ -61,13 +61,13 @@ def on_cluster(tmp_path_factory):
     env = os.environ | {"SPARK_HOME": str(home), "PYTHONPATH": str(ROOT), "PYSPARK_PYTHON": sys.executable, "SPARK_LOCAL_IP": "127.0.0.1", "TZ": "UTC"}
     for name in ("PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET", "PYSPARK_SUBMIT_ARGS"):
         env.pop(name, None)
-    names = ["jdbc_roundtrip_orders", "jdbc_wide_types"]
+    names = ["jdbc_roundtrip_orders", "jdbc_wide_types", "sql_view_database"]
     run = subprocess.run(["timeout", "600", sys.executable, "-c", CLUSTER, str(tmp_path_factory.mktemp("both")), FOLDER, *names], cwd=here, env=env, capture_output=True, text=True)
     found = {x[0]: x[1:] for x in map(json.loads, (line for line in run.stdout.splitlines() if line.startswith('["')))}
     return found, run.stderr[-3000:]
 
 
-@pytest.mark.parametrize("name", ["jdbc_roundtrip_orders", "jdbc_wide_types"])
+@pytest.mark.parametrize("name", ["jdbc_roundtrip_orders", "jdbc_wide_types", "sql_view_database"])
 def test_cluster(on_cluster, name):
     found, errors = on_cluster
     assert name in found, errors
