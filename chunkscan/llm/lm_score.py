@@ -10,8 +10,8 @@ A unit is scored after the ``CONTEXT`` units before it. Units are leaves of a tr
 normalises exactly, at a cost of the cube root of the units.
 
 Noise-contrastive estimation makes one pass over all windows of the training rows, in ``ROUNDS``
-parts. Each task goes through its rows in steps of ``BATCH`` windows; after each part, changes are
-averaged by how many steps made them. Every worker holds all units' numbers, some 400 bytes a unit
+parts. Each task goes through its rows in steps of ``BATCH`` windows, runs of ``RUN`` neighbours
+drawn from all over a chunk; after each part, changes are averaged by how many steps made them. Every worker holds all units' numbers, some 400 bytes a unit
 while it learns.
 
 Counts of the ``HEAD`` commonest words, a fixed bound, go to all workers; other words of a text meet
@@ -44,20 +44,29 @@ END = 1
 #: The end's place among the hashes.
 END_HASH = np.uint64(0x656E64)
 STEPS, BATCH, NOISE, RATE = 1500, 2048, 2, 0.05
+#: Neighbouring windows that go into one step together.
+RUN = 8
 #: Bytes of text handled at once; distinct tokens that a task gathers before it passes them on.
 CHUNK, GATHER = 1 << 21, 2_000_000
+#: Bytes of text hashed at once, whose arrays stay in a CPU's cache.
+PIECE = 1 << 16
 
 
 def _chunks(pdf: pd.DataFrame) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Row range, hashes of its tokens with ends, and tokens by row."""
-    raws, size, lo = [], 0, 0
+    pieces, raws, held, size, lo = [], [], 0, 0, 0
     for hi, text in enumerate([*pdf["text"], None], 0):
         raw = (text or "").encode("utf-8", "surrogatepass").lower()
-        if raws and (hi == len(pdf) or size + len(raw) > CHUNK):
+        full = hi > lo and (hi == len(pdf) or size + len(raw) > CHUNK)
+        if raws and (full or held + len(raw) > PIECE):
             hashes, counts = word_hashes(raws)
-            yield lo, hi, np.insert(hashes, np.cumsum(counts), END_HASH), counts + 1
-            raws, size, lo = [], 0, hi
+            pieces.append((np.insert(hashes, np.cumsum(counts), END_HASH), counts + 1))
+            raws, held = [], 0
+        if full:
+            yield lo, hi, *map(np.concatenate, zip(*pieces))
+            pieces, size, lo = [], 0, hi
         raws.append(raw)
+        held += len(raw) + 1
         size += len(raw) + 1
 
 
@@ -94,13 +103,21 @@ def _count_tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out()
 
 
-def _find(tokens: np.ndarray, words: np.ndarray, ids: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unit of each token, and which bucket of rare words it is in (-1: none); ``words`` sorted."""
-    distinct, back = np.unique(tokens, return_inverse=True)
+def _distinct(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct tokens in order, and the place of each token among them."""
+    codes, distinct = pd.factorize(tokens)
+    order = np.argsort(distinct)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return distinct[order], place[codes]
+
+
+def _find(distinct: np.ndarray, words: np.ndarray, ids: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit of each token, and which bucket of rare words it is in (-1: none); both arrays sorted."""
     at = np.minimum(np.searchsorted(words, distinct), len(words) - 1)
     own = words[at] == distinct
     bucket = np.where(own, -1, distinct.view(np.int64) % len(buckets))
-    return np.where(own, ids[at], buckets[bucket])[back], bucket[back]
+    return np.where(own, ids[at], buckets[bucket]), bucket
 
 
 def _before(units: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
@@ -113,6 +130,19 @@ def _before(units: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
     return out
 
 
+def _runs(units: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """All windows in runs of ``RUN``: lines of ``CONTEXT`` units before a run and its own; and which of these are tokens.
+
+    Before each text stand ``CONTEXT`` ends, of which the last may be the end of the text before.
+    """
+    gaps = np.repeat(np.cumsum(counts) - counts, CONTEXT - 1)
+    fill = -(len(units) + len(gaps) - (CONTEXT - 1)) % RUN
+    stream = np.concatenate([[end], np.insert(units, gaps, end), np.full(fill, end)])
+    real = np.concatenate([[False], np.insert(np.ones(len(units), bool), gaps, False), np.zeros(fill, bool)])
+    lines = np.lib.stride_tricks.sliding_window_view(stream, CONTEXT + RUN)[::RUN]
+    return lines, real[CONTEXT:].reshape(len(lines), RUN)
+
+
 def _order(rows: np.ndarray) -> np.ndarray:
     """Places of ``rows`` in order, by numpy's radix sort of 16-bit digits."""
     order = np.argsort((rows & 0xFFFF).astype(np.uint16), kind="stable")
@@ -140,6 +170,14 @@ def _scatter(rows: np.ndarray, grads: np.ndarray, scale: np.ndarray | None = Non
     return at[first], sums if scale is None else np.column_stack([sums, np.add.reduceat(scale, first)])
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in place."""
+    np.negative(np.maximum(x, -30, out=x), out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 class LogBilinear:
     """Units in the order of their counts are leaves of a tree of ``LEVELS`` levels with ``fan`` children a node.
 
@@ -172,46 +210,63 @@ class LogBilinear:
         return [self.r, self.t, self.c.reshape(CONTEXT, -1)]
 
     def learn(self, before: np.ndarray, unit: np.ndarray, squares: list[np.ndarray], rate: float, rng: np.random.Generator, seen: list[np.ndarray] | None = None) -> None:
-        """One Adagrad step, with one sum of squares a row, of noise-contrastive estimation: at each level the true node against ``NOISE`` of its sisters."""
-        around = np.take(self.r, before, axis=0).reshape(len(unit), -1)
-        mixing = self.c.reshape(-1, DIMENSION)
+        """One step over single windows."""
+        self.learn_runs(np.column_stack([before[:, ::-1], unit]), np.ones((len(unit), 1), bool), squares, rate, rng, seen)
+
+    def learn_runs(self, stream: np.ndarray, real: np.ndarray, squares: list[np.ndarray], rate: float, rng: np.random.Generator, seen: list[np.ndarray] | None = None) -> None:
+        """One Adagrad step, with one sum of squares a row, of noise-contrastive estimation: at each level the true node against ``NOISE`` of its sisters,
+        drawn for each window, at the top level against the mean of all draws.
+
+        A line of ``stream`` holds ``CONTEXT`` units and the units of a run of windows, of which those that are ``real`` count.
+        A unit of a run is looked up, and changed, once for all windows that it stands before.
+        """
+        length, near = real.shape[1], stream[:, :-1]
+        around, mixing = np.take(self.r, near.ravel(), axis=0), np.hstack(self.c)
+        mixed = (around @ mixing).reshape(*near.shape, CONTEXT, DIMENSION)
+        lines, unit = np.flatnonzero(real), stream[:, CONTEXT:][real]
         wide = np.ones((len(unit), DIMENSION + 1), np.float32)
-        wide[:, :DIMENSION] = around @ mixing
-        rows, odds = [], []
-        for level in range(LEVELS):
-            size = int(self.edges[level + 1] - self.edges[level])
+        wide[:, :DIMENSION] = sum(mixed[:, CONTEXT - 1 - j : CONTEXT - 1 - j + length, j] for j in range(CONTEXT)).reshape(-1, DIMENSION)[lines]
+        width, count, every = 1 + NOISE, len(unit), np.arange(len(unit))
+        rows, x = np.empty((count, (LEVELS - 1) * width), np.int64), np.empty((count, (LEVELS - 1) * width), np.float32)
+        for level in range(1, LEVELS):
+            start, size = int(self.edges[level]), int(self.edges[level + 1] - self.edges[level])
             node = unit // self.fan ** (LEVELS - 1 - level)
             first = node // self.fan * self.fan
             sisters = np.minimum(size - first, self.fan)[:, None]
-            noise = (rng.random((len(unit), NOISE), np.float32) * sisters).astype(np.int64)
-            rows += [node[:, None], first[:, None] + np.minimum(noise, sisters - 1)]
-            odds.append(np.repeat(np.log(sisters / NOISE).astype(np.float32), 1 + NOISE, axis=1))
-            rows[-1] += self.edges[level]
-            rows[-2] = rows[-2] + self.edges[level]
-        rows = np.hstack(rows)
-        # The top level has few nodes, common to all windows: products of whole matrices.
-        high, low, top = rows[:, : 1 + NOISE], rows[:, 1 + NOISE :], self.t[: self.edges[1]]
-        every, got = np.arange(len(unit))[:, None], np.take(self.t, low, axis=0)
-        x = np.hstack([(wide @ top.T)[every, high], np.einsum("bkd,bd->bk", got, wide)]) + np.hstack(odds)
-        g = -1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        g[:, :: 1 + NOISE] += 1
-        spread = np.zeros(len(unit) * len(top), np.float32)
-        np.add.at(spread, (every * len(top) + high).ravel(), g[:, : 1 + NOISE].ravel())
-        spread = spread.reshape(len(unit), len(top))
-        g_low = np.ascontiguousarray(g[:, 1 + NOISE :])
-        g_hidden = spread @ top[:, :DIMENSION] + np.matmul(g_low[:, None, :], got)[:, 0, :DIMENSION]
-        met = np.flatnonzero(np.bincount(high.ravel(), minlength=len(top)))
-        below = _scatter(low.ravel(), np.ascontiguousarray(wide[:, :DIMENSION]), g_low.ravel())
-        g_t = np.append(met, below[0]), np.concatenate([(spread.T @ wide)[met], below[1]])
-        g_c = (around.T @ g_hidden).reshape(CONTEXT, -1)
-        g_r = (g_hidden @ mixing.T).reshape(-1, DIMENSION)
-        steps = [_scatter(before.ravel(), g_r), g_t, (np.arange(CONTEXT), g_c)]
+            noise = (rng.random((count, NOISE), np.float32) * sisters).astype(np.int64)
+            at = (level - 1) * width
+            rows[:, at] = node + start
+            rows[:, at + 1 : at + width] = np.minimum(noise, sisters - 1) + (first + start)[:, None]
+            x[:, at : at + width] = np.log(sisters / NOISE)
+        got = np.take(self.t, rows, axis=0)
+        x += np.einsum("bkd,bd->bk", got, wide)
+        g = -_sigmoid(x)
+        g[:, ::width] += 1
+        # The top level has few nodes, common to all windows: by products of whole matrices, each counts as often as it is drawn on average.
+        top, node = self.t[: self.edges[1]], unit // self.fan ** (LEVELS - 1)
+        spread = wide @ top.T
+        spread += np.float32(np.log(len(top) / NOISE))
+        true = 1 - _sigmoid(spread)[every, node]
+        spread *= np.float32(-NOISE / len(top))
+        spread[every, node] += true
+        g_hidden = spread @ top[:, :DIMENSION] + np.matmul(g[:, None, :], got)[:, 0, :DIMENSION]
+        below = _scatter(rows.ravel(), np.ascontiguousarray(wide[:, :DIMENSION]), g.ravel())
+        g_t = np.append(np.arange(len(top)), below[0]), np.concatenate([spread.T @ wide, below[1]])
+        g_run = np.zeros((real.size, DIMENSION), np.float32)
+        g_run[lines] = g_hidden
+        g_mixed = np.zeros_like(mixed)
+        for j in range(CONTEXT):
+            g_mixed[:, CONTEXT - 1 - j : CONTEXT - 1 - j + length, j] = g_run.reshape(*real.shape, DIMENSION)
+        g_mixed = g_mixed.reshape(len(around), -1)
+        g_c = (around.T @ g_mixed).reshape(DIMENSION, CONTEXT, DIMENSION).swapaxes(0, 1).reshape(CONTEXT, -1)
+        steps = [_scatter(near.ravel(), g_mixed @ mixing.T), g_t, (np.arange(CONTEXT), g_c)]
         for k, (part, square, (rows, g)) in enumerate(zip(self.parts(), squares, steps)):
             g /= len(unit)
             total = square[rows] + np.einsum("rd,rd->r", g, g) / g.shape[1]
             square[rows] = total
             g *= (rate / np.sqrt(total))[:, None]
-            part[rows] = np.take(part, rows, axis=0) + g
+            g += np.take(part, rows, axis=0)
+            part[rows] = g
             if seen is not None:
                 seen[k][rows] += 1
 
@@ -241,7 +296,9 @@ class LogBilinear:
 
     def hidden(self, before: np.ndarray) -> np.ndarray:
         out = np.ones((len(before), DIMENSION + 1), np.float32)
-        out[:, :DIMENSION] = sum(np.take(self.r, before[:, j], axis=0) @ c for j, c in enumerate(self.c))
+        mixing = self.c.reshape(-1, DIMENSION)
+        for lo in range(0, len(before), BLOCK):  # of a size that stays in a CPU's cache
+            out[lo : lo + BLOCK, :DIMENSION] = np.take(self.r, before[lo : lo + BLOCK], axis=0).reshape(-1, len(mixing)) @ mixing
         return out
 
     def log_p(self, before: np.ndarray, unit: np.ndarray) -> np.ndarray:
@@ -287,11 +344,12 @@ def _train(shared, rate: float):
         rng = np.random.default_rng(17)
         for pdf in frames:
             for _, _, tokens, counts in _chunks(pdf):
-                unit, _ = _find(tokens, model.words, model.ids, model.buckets)
-                before = _before(unit, counts, model.end)
-                mixed = rng.permutation(len(unit))
-                for lo in range(0, len(unit), BATCH):
-                    model.learn(before[mixed[lo : lo + BATCH]], unit[mixed[lo : lo + BATCH]], squares, rate, rng, seen)
+                distinct, back = _distinct(tokens)
+                unit = _find(distinct, model.words, model.ids, model.buckets)[0][back]
+                stream, real = _runs(unit, counts, model.end)
+                mixed = rng.permutation(len(stream))
+                for lo in range(0, len(stream), BATCH // RUN):
+                    model.learn_runs(stream[mixed[lo : lo + BATCH // RUN]], real[mixed[lo : lo + BATCH // RUN]], squares, rate, rng, seen)
         for k, (x, old, n) in enumerate(zip(model.parts(), start, seen)):
             for b in range(0, len(x), BLOCK):
                 m = n[b : b + BLOCK, None]
@@ -372,15 +430,16 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
         log_known = np.log10(known + 1.0)
         for pdf in frames:
             for lo, hi, tokens, sizes in _chunks(pdf):
-                distinct, back = np.unique(tokens, return_inverse=True)
+                distinct, back = _distinct(tokens)
                 at = np.minimum(np.searchsorted(hashes, distinct), max(len(hashes) - 1, 0))
                 inside = hashes[at] == distinct if len(hashes) else np.zeros(len(distinct), bool)
                 rare = np.where(inside, log_known[at], 0) if len(hashes) else np.zeros(len(distinct))
                 seen = inside & (known[at] > 0) if len(hashes) else inside
-                inside, rare, seen = inside[back], rare[back], seen[back]
-                unit, bucket = _find(tokens, model.words, model.ids, model.buckets)
+                unit, bucket = _find(distinct, model.words, model.ids, model.buckets)
                 # A rare word's count may be out of the head; the join below then adds it.
-                lm = model.log_p(_before(unit, sizes, model.end), unit) + np.where(bucket >= 0, rare - log_bucket[bucket], 0)
+                share = np.where(bucket >= 0, rare - log_bucket[bucket], 0)
+                inside, rare, seen, share, unit = inside[back], rare[back], seen[back], share[back], unit[back]
+                lm = model.log_p(_before(unit, sizes, model.end), unit) + share
                 first = np.cumsum(sizes) - sizes
                 lost = np.split(tokens[~inside].view(np.int64), np.cumsum(np.add.reduceat(~inside, first, dtype=np.int64))[:-1])
                 yield pd.DataFrame({

@@ -8,8 +8,10 @@ import string
 from collections import Counter, defaultdict
 from dataclasses import replace
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -447,6 +449,31 @@ def test_lm_sees_farther_back():
     assert 10 ** np.mean(model.log_p(before, before[:, 1])) > 0.5
 
 
+def test_lm_learns_every_window_once_in_runs(monkeypatch):
+    rng = random.Random(6)
+    texts = [H.text(rng, n) if n else None for n in (300, 1, 0, 0, 40, 7, 8, 200, 3)]
+    sizes = []
+    monkeypatch.setattr(lm_score, "_scatter", lambda rows, *more, f=lm_score._scatter: sizes.append((len(rows), len(more))) or f(rows, *more))
+    for piece in (1 << 16, 50):
+        monkeypatch.setattr(lm_score, "PIECE", piece, raising=False)
+        (lo, hi, tokens, counts), = lm_score._chunks(pd.DataFrame({"text": texts}))
+        assert (lo, hi, counts.tolist()) == (0, len(texts), [len((t or "").split()) + 1 for t in texts])
+        assert len(set(tokens)) == len({w.lower() for t in texts for w in (t or "").split()}) + 1
+    words = np.unique(tokens)
+    model = lm_score.LogBilinear(words, np.arange(len(words)), mass=np.ones(len(words)), end=int(np.searchsorted(words, lm_score.END_HASH)))
+    assert list(lm_score._train(SimpleNamespace(value=model), 0.05)(iter([pd.DataFrame({"text": texts})])))
+    # A word is looked up and changed once for the windows of a run that it stands before, not once for each.
+    assert sum(n for n, more in sizes if more == 1) < 2 * len(tokens)
+    units = np.searchsorted(words, tokens)
+    stream, real = lm_score._runs(units, counts, model.end)
+    got = [(*stream[i, k : k + lm_score.CONTEXT][::-1], stream[i, k + lm_score.CONTEXT]) for i, k in zip(*np.nonzero(real))]
+    assert got == [(*b, u) for b, u in zip(lm_score._before(units, counts, model.end), units)]
+    one, other = model.copied(), model.copied()
+    one.learn_runs(stream, real, one.squares(), 0.05, np.random.default_rng(1))
+    other.learn(lm_score._before(units, counts, model.end), units, other.squares(), 0.05, np.random.default_rng(1))
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(one.parts(), other.parts()))
+
+
 def test_string_kernel_tolerates_gaps():
     marks = toxicity._Marks(["nitwit", "harbour"])
     k = marks.kernel(["nitwit", "NIT-WIT".lower(), "n1twit", "nixtwit", "lantern", "ab", ""])
