@@ -252,10 +252,9 @@ class _Corpus:
         """(cid, n, found) for at least these classes; texts are read again for those not known yet."""
         missing = cids.select("cid").distinct()
         if self.sets is not None:
-            missing = missing.join(self.sets.select("cid"), "cid", "left_anti")
-        missing = cut(missing)
-        if self.sets is not None and missing.limit(1).count() == 0:
-            return self.sets
+            missing = cut(missing.join(self.sets.select("cid"), "cid", "left_anti"))
+            if missing.limit(1).count() == 0:
+                return self.sets
         # Always a merge join: what is wanted grows with the corpus.
         wanted = self.classes.join(missing, "cid").select(F.col("id").alias("doc_id"), "cid", "key").hint("merge")
 
@@ -274,8 +273,7 @@ class _Corpus:
         return self.sets
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """Of ``pairs`` (a, b), the links (u, v): similarity on full sets at or over the threshold."""
-        pairs = cut(pairs.distinct())
+        """Of ``pairs`` (a, b; written, each once), the links (u, v): similarity on full sets at or over the threshold."""
         sets = self.with_sets(pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))))
         side = lambda x: sets.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("found").alias(f"s{x}"))
         size = F.size(F.array_intersect("sa", "sb")).cast("long")
@@ -285,6 +283,13 @@ class _Corpus:
         return both.withColumn("both", size).where(DENOMINATOR * F.col("both") >= NUMERATOR * (F.col("na") + F.col("nb") - F.col("both"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _extended(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) of those that are known and further links."""
+    if links.limit(1).count() == 0:
+        return comps
+    return components(comps.select(F.col("node").alias("u"), F.col("root").alias("v")).union(links))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     corpus = _Corpus(docs, id_col, text_col)
@@ -299,20 +304,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = shared.where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b")).distinct()
     tested = stars.join(sig("a", "sa"), "a").join(sig("b", "sb"), "b").mapInPandas(_prune, "a long, b long")
     tested = cut(tested)
-    links = cut(corpus.verify(tested))
-    comps = components(links)
+    comps = components(cut(corpus.verify(tested)))
     slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    families = components(tested.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("cid"), F.col("root").alias("family"))
-    families = cut(families.union(families.select("family", "family").distinct()))
+    families = components(tested.select(F.col("a").alias("u"), F.col("b").alias("v")), roots=True).select(F.col("node").alias("cid"), F.col("root").alias("family"))
 
     rooted = families.join(comps.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     open_ = rooted.groupBy("family").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi AND m > 2")
     met = _blocks(cut(rooted.join(open_.select("family").hint("merge"), "family")), "family")
-    sets = corpus.with_sets(families.select("cid")).select("cid", "found").hint("merge")
+    # Families are of tested pairs, whose sets are there.
+    sets = corpus.sets.select("cid", "found").hint("merge")
     dealt = met.join(sig("cid", "sig"), "cid").join(sets, "cid").select("g", "i", "j", "own", "cid", "root", "sig", "found")
     joined = dealt.repartition(slots, "g").sortWithinPartitions("g").mapInPandas(_relatives, "u long, v long")
-    links = cut(links.union(joined))
-    comps = components(links)
+    comps = _extended(comps, cut(joined))
 
     # Buckets that hold several families; bands of one group give the same bucket again, one is enough.
     placed = shared.where("members > 2").select("bucket", "cid").join(families.hint("merge"), "cid", "left").withColumn("root", F.coalesce("family", "cid"))
@@ -322,8 +325,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = _blocks(members, "bucket").join(sig("cid", "sig"), "cid").select("g", "i", "j", "own", "cid", "root", "sig")
     strange = cut(dealt.repartition(slots, "g").sortWithinPartitions("g").mapInPandas(_strangers, "a long, b long").distinct())
     if strange.limit(1).count():
-        links = cut(links.union(corpus.verify(strange)))
-        comps = components(links)
+        comps = _extended(comps, cut(corpus.verify(strange)))
 
     known = classes.join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("key", "id", F.coalesce("root", "cid").alias("root"))
     least = known.groupBy("root").agg(F.min("id").alias("component_id"))

@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chunkscan.llm import exact_dedup as ed
-from chunkscan.llm import decontaminate, language_id, lm_score, near_dedup, packing, secrets, suffix_dedup, toxicity
+from chunkscan.llm import decontaminate, graph, language_id, lm_score, near_dedup, packing, secrets, suffix_dedup, toxicity
 from chunkscan.llm.common import held_out, make_importable
 from chunkscan.llm.decontaminate import contamination
 from chunkscan.llm.graph import components
@@ -99,6 +99,41 @@ def test_near(docs, rows, nothing, block, monkeypatch):
     assert near_dedup.near_duplicates(nothing).count() == 0
 
 
+@pytest.mark.parametrize("gathered", [graph.GATHERED, 0])
+def test_components_gathered_or_not(spark, gathered, monkeypatch):
+    monkeypatch.setattr(graph, "GATHERED", gathered)
+    rng = random.Random(6)
+    names = rng.sample(range(-500, 1 << 60), 90)
+    edges = [(rng.choice(names), rng.choice(names)) for _ in range(50)] + [(k, k + 1) for k in range(600, 640)] + [(640, 700), (700, 640), (9, 9)]
+    root = {x: x for u, v in edges if u != v for x in (u, v)}
+    for _ in root:
+        for u, v in edges:
+            if u != v:
+                root[u] = root[v] = min(root[u], root[v])
+    df = spark.createDataFrame(edges, "u long, v long")
+    assert {r["node"]: r["root"] for r in components(df, roots=True).collect()} == root
+    assert {r["node"]: r["root"] for r in components(df).collect()} == {x: r for x, r in root.items() if x != r}
+    assert components(df, roots=True).count() == len(root)
+    assert components(df.where("u = v"), roots=True).count() == 0
+
+
+def test_near_by_rounds_on_the_cluster(docs, rows, monkeypatch):
+    monkeypatch.setattr(graph, "GATHERED", 0)
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == H.near(rows)
+
+
+def test_near_writes_few_tables(docs, rows, monkeypatch):
+    # Each table written is some jobs of as many tasks as there are partitions, whatever its rows.
+    written = []
+    for module in (near_dedup, graph):
+        monkeypatch.setattr(module, "cut", lambda df, cut=module.cut: written.append(1) or cut(df))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == H.near(rows)
+    assert len(written) <= 26
+
+
 def test_near_pruning_keeps_threshold():
     # At the threshold itself the chance to be dropped stays within the miss probability's order.
     n, t = near_dedup.HASHES, 0.75
