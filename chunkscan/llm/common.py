@@ -96,11 +96,10 @@ def cut(df: DataFrame, passing: list[str] | None = None) -> DataFrame:
 
 
 @contextmanager
-def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what runs within go as soon as it has ended, not when the driver happens to collect its garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """What runs within has this setting of Spark; the former one comes back."""
     before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
@@ -110,6 +109,11 @@ def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def _shuffles_deleted(spark: SparkSession):
+    """Shuffle files of what runs within go as soon as it has ended, not when the driver happens to collect its garbage."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def delete(spark: SparkSession, passing: list[str]) -> None:
     """Deletes written tables that nothing reads any more."""
     for path in passing:

@@ -29,10 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkscan.llm.common import cut
+from chunkscan.llm.common import cut, setting
 from chunkscan.llm.hashing import word_hashes
 
 #: Units of a model made without counts; numbers a unit; words with counts that all workers hold.
@@ -50,6 +50,8 @@ RUN = 8
 CHUNK, GATHER = 1 << 21, 2_000_000
 #: Bytes of text hashed at once, whose arrays stay in a CPU's cache.
 PIECE = 1 << 16
+#: Bytes from which a frame that goes to a worker is full; Spark's own bounds are 10,000 rows and 64 MB.
+FRAME = 8 << 20
 
 
 def _chunks(pdf: pd.DataFrame) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -364,6 +366,11 @@ def _merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [key[0]], "block": [key[1]], "blob": [total.astype("<f4").tobytes()]})
 
 
+def _bounded(spark: SparkSession):
+    """Frames of texts hold ``FRAME`` bytes and one row more at most, however long the rows are."""
+    return setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(FRAME))
+
+
 def fit_model(model: LogBilinear, texts: DataFrame) -> LogBilinear:
     """One pass over all windows of the training rows in ``ROUNDS`` parts; after each, the tasks' changes are averaged."""
     sc, kind = texts.sparkSession.sparkContext, "part int, block int, blob binary"
@@ -387,7 +394,8 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
     texts = source.select("held_out", "text")
-    counts = cut(texts.mapInPandas(_count_tokens, "h long, c long, every long").groupBy("h").agg(F.sum("c").alias("c"), F.sum("every").alias("every")))
+    with _bounded(spark):
+        counts = cut(texts.mapInPandas(_count_tokens, "h long, c long, every long").groupBy("h").agg(F.sum("c").alias("c"), F.sum("every").alias("every")))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
 
     # The head: all tokens from a count up that at most HEAD tokens reach, from a histogram of a few hundred rows.
@@ -421,7 +429,8 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     order = np.argsort(words)
     model = LogBilinear(words[order], place[: len(words)][order], place[len(words) :], mass[ranked], int(place[len(words) - 1]))
     if total:
-        model = fit_model(model, texts)
+        with _bounded(spark):
+            model = fit_model(model, texts)
     log_base, log_bucket = float(np.log10(total + distinct + 1)), np.log10(in_bucket + kinds + 1.0)
     shared = spark.sparkContext.broadcast((hashes, known, model, log_bucket))
 
@@ -448,7 +457,8 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
                 })
 
     scored = source.mapInPandas(score, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, lm double, lost array<long>")
-    scored = cut(scored.withColumn("rid", F.monotonically_increasing_id()))
+    with _bounded(spark):
+        scored = cut(scored.withColumn("rid", F.monotonically_increasing_id()))
     lost = scored.select("rid", F.explode("lost").alias("h"))
     tail = counts.where(level < floor_) if floor_ is not None else counts
     met = lost.join(tail.where("c > 0").select("h", "c").hint("merge"), "h")

@@ -509,6 +509,27 @@ def test_lm_learns_every_window_once_in_runs(monkeypatch):
     assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(one.parts(), other.parts()))
 
 
+def test_lm_bounds_frames_of_long_texts(spark, monkeypatch):
+    limit, chunks, count = 1 << 16, lm_score._chunks, lm_score._count_tokens
+
+    def small(pdf):
+        held = int(pdf["text"].str.len().sum())
+        assert held <= limit + 20_000, f"a frame of {held} bytes"
+        return pdf
+
+    monkeypatch.setattr(lm_score, "FRAME", limit, raising=False)
+    monkeypatch.setattr(lm_score, "_chunks", lambda pdf: chunks(small(pdf)))
+    monkeypatch.setattr(lm_score, "_count_tokens", lambda frames: count(map(small, frames)))
+    rng, name = random.Random(8), "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = {i: " ".join(f"w{rng.randrange(300)}" for _ in range(3000)) for i in range(40)}
+    former = spark.conf.get(name)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r for r in lm_score.score_texts(docs, held_out("doc_id", 7, 2)).collect()}
+    assert {i: r["n_tokens"] for i, r in got.items()} == dict.fromkeys(texts, 3001)
+    assert {r["train_tokens"] for r in got.values()} == {sum(3001 for i in texts if H.fold(i, 7) != 2)}
+    assert spark.conf.get(name) == former
+
+
 def test_string_kernel_tolerates_gaps():
     marks = toxicity._Marks(["nitwit", "harbour"])
     k = marks.kernel(["nitwit", "NIT-WIT".lower(), "n1twit", "nixtwit", "lantern", "ab", ""])
